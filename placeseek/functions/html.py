@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import html as _html
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from placeseek.functions import kernels
 from placeseek.functions import text as tx
 
 # Named entities decoded without leaving the JVM, ``&amp;`` last.
@@ -31,9 +30,7 @@ TAG = r"\s*<[^>\x01]*>\s*"
 BREAK = "\x01"
 
 
-@F.pandas_udf("string")
-def _unescape_batch(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else _html.unescape(t))
+_unescape_batch = F.pandas_udf(kernels.unescape, T.StringType())
 
 
 def decode(text: Column) -> Column:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from placeseek.functions import kernels
 
 # A token is a maximal run of letters, digits and underscores.
 WORD = r"[\p{L}\p{N}_]+"
@@ -37,9 +38,7 @@ NFKC_STABLE = (
 )
 
 
-@F.pandas_udf("string")
-def _nfkc_batch(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+_nfkc_batch = F.pandas_udf(kernels.nfkc, T.StringType())
 
 
 def nfkc(text: Column) -> Column:

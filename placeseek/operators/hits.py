@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from placeseek.functions import text as tx
 from placeseek.functions import values as vx
 from placeseek.session import cut
-from placeseek.sizing import fits, join_checked
+from placeseek.sizing import fits, join_checked, localised, one_of
 
 LEXICAL = "BM25"
 SEMANTIC = "FAISS"
@@ -25,15 +25,19 @@ PUSHED_IDS = 2000
 def attach_posts(hits: DataFrame, posts: DataFrame, key: str = "doc_id") -> DataFrame:
     """Join ranked ids back to their posts.
 
-    The ranking is stored first, as it is small and used twice. A short list of ids
-    also becomes a filter on the scan, so that a post table sorted by id is not read
-    in full to fetch a few bodies.
+    A ranking is small, so it is computed once and kept as a local table; one too large
+    for that is stored. A short list of ids also becomes a filter on the scan, so that a
+    post table sorted by id is not read in full to fetch a few bodies.
     """
-    settled = cut(hits.withColumnRenamed(key, "id"))
-    ids = settled.select("id").distinct().limit(PUSHED_IDS + 1).collect()
-    if len(ids) <= PUSHED_IDS:
-        posts = posts.filter(F.col("id").isin([r[0] for r in ids]))
-    return join_checked(posts, settled, "id", spread="page_url", small_fits=fits(settled))
+    settled, rows = localised(hits.withColumnRenamed(key, "id"))
+    if rows is None:
+        settled = cut(settled)
+    else:
+        ids = sorted({r["id"] for r in rows})
+        if len(ids) <= PUSHED_IDS:
+            posts = posts.filter(one_of("id", ids))
+    small = rows is not None or fits(settled)
+    return join_checked(posts, settled, "id", spread="page_url", small_fits=small)
 
 
 def snippets(description: Column, shown: Column) -> Column:

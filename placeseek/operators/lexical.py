@@ -12,7 +12,7 @@ from placeseek.functions import text as tx
 from placeseek.functions import values as vx
 from placeseek.operators.topk import top_k
 from placeseek.session import parallelism
-from placeseek.sizing import fits, join_checked
+from placeseek.sizing import fits, join_checked, localised, one_of
 
 K1 = 1.5
 B = 0.75
@@ -22,7 +22,7 @@ FLOOR_SHARE = 0.25
 # of a score is not fixed and equal texts must tie.
 SCORE_DIGITS = 6
 # Up to this many query terms are pushed down to the postings scan as a filter.
-PUSHED_TERMS = 2000
+PUSHED_TERMS = 200
 # Queries handled at once by the full fill of :func:`_zero_rows`.
 FILL_QUERIES = 1000
 
@@ -47,11 +47,9 @@ class LexicalIndex:
     documents: DataFrame
     corpus: DataFrame
     buckets: int
-
-    def numbers(self) -> dict:
-        row = self.corpus.first()
-        n, total = row["n"], row["total_len"] or 0
-        return {"n": n, "avgdl": total / n if n else 0.0, "mean_idf": row["mean_idf"] or 0.0}
+    n: int
+    avgdl: float
+    mean_idf: float
 
 
 def bucket_of(term, buckets: int):
@@ -109,7 +107,12 @@ def load_index(spark: SparkSession, path: str) -> LexicalIndex:
     ).parquet(f"{path}/postings")
     terms = spark.read.parquet(f"{path}/terms")
     documents = spark.read.parquet(f"{path}/forward").select("doc_id", "dl")
-    return LexicalIndex(postings, terms, documents, corpus, corpus.first()["buckets"])
+    row = corpus.first()
+    mean_length = row["total_len"] / row["n"] if row["n"] else 0.0
+    return LexicalIndex(
+        postings, terms, documents, corpus.drop("buckets"), row["buckets"],
+        row["n"], mean_length, row["mean_idf"] or 0.0,
+    )
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -122,28 +125,27 @@ def query_terms(queries: DataFrame) -> DataFrame:
     )
 
 
-def weighted_terms(terms: DataFrame, numbers: dict, form: str) -> DataFrame:
+def weighted_terms(terms: DataFrame, index: LexicalIndex, form: str) -> DataFrame:
     """Add the inverse document frequency ``idf`` in one of the two forms."""
-    n = F.lit(numbers["n"])
+    n = F.lit(index.n)
     if form == SMOOTHED:
         return terms.withColumn("idf", vx.smoothed_idf(n, F.col("df")))
     if form != FLOORED:
         raise ValueError(f"unknown weight form {form!r}")
     plain = vx.plain_idf(n, F.col("df"))
-    floor = F.lit(FLOOR_SHARE * numbers["mean_idf"])
+    floor = F.lit(FLOOR_SHARE * index.mean_idf)
     return terms.withColumn("idf", F.when(plain < 0, floor).otherwise(plain))
 
 
-def _matching(table: DataFrame, wanted: list[str] | None, buckets: int) -> DataFrame:
-    """Restrict a term table to the wanted terms by filters the scan can use."""
-    if wanted is None:
+def _matching(table: DataFrame, rows: list | None) -> DataFrame:
+    """Restrict a term table to the asked terms by filters the scan can use."""
+    if rows is None:
+        return table
+    wanted = sorted({r["term"] for r in rows})
+    if len(wanted) > PUSHED_TERMS:
         return table
-    spark = table.sparkSession
-    # The bucket of each wanted term, by the same expression that laid out the table.
-    hashed = spark.createDataFrame([(t,) for t in wanted], "term string")
-    numbers = [r[0] for r in hashed.select(bucket_of("term", buckets)).distinct().collect()]
-    out = table.filter(F.col("term").isin(wanted))
-    return out.filter(F.col("bucket").isin(numbers)) if "bucket" in table.columns else out
+    buckets = sorted({r["bucket"] for r in rows})
+    return table.filter(one_of("bucket", buckets)).filter(one_of("term", wanted))
 
 
 def _zero_rows(index: LexicalIndex, asked: DataFrame, k: int, mean_idf: float) -> Iterator[DataFrame]:
@@ -157,15 +159,13 @@ def _zero_rows(index: LexicalIndex, asked: DataFrame, k: int, mean_idf: float) -
     if mean_idf >= 0:
         pool = [r[0] for r in index.documents.select("doc_id").orderBy("doc_id").limit(2 * k).collect()]
         if pool:
-            ids = F.array(*[F.lit(i).cast("long") for i in pool])
-            yield asked.select("query_id", F.explode(ids).alias("doc_id"), F.lit(0.0).alias("part"))
+            yield asked.select("query_id", F.explode(F.lit(pool).cast("array<long>")).alias("doc_id"), F.lit(0.0).alias("part"))
         return
     block: list[int] = []
 
     def rows(query_ids: list[int]) -> DataFrame:
-        ids = F.array(*[F.lit(i).cast("long") for i in query_ids])
         return index.documents.select(
-            F.explode(ids).alias("query_id"), "doc_id", F.lit(0.0).alias("part")
+            F.explode(F.lit(query_ids).cast("array<long>")).alias("query_id"), "doc_id", F.lit(0.0).alias("part")
         )
 
     for row in asked.toLocalIterator():
@@ -190,29 +190,26 @@ def score(
     One scan of the postings of the query terms and one shuffle, for the sum. Repeats
     of a query word count; words the corpus lacks add nothing.
     """
-    numbers = index.numbers()
-    asked_terms = query_terms(queries)
-    small = fits(asked_terms)
-    wanted = None
-    if small:
-        rows = asked_terms.select("term").distinct().limit(PUSHED_TERMS + 1).collect()
-        wanted = [r[0] for r in rows] if len(rows) <= PUSHED_TERMS else None
-
-    vocabulary = _matching(index.terms, wanted, index.buckets).select("term", "df")
+    asked_terms, rows = localised(
+        query_terms(queries).withColumn("bucket", bucket_of("term", index.buckets))
+    )
+    small = rows is not None or fits(asked_terms)
+
+    vocabulary = _matching(index.terms, rows).select("term", "df")
     weights = join_checked(
-        weighted_terms(vocabulary, numbers, form), asked_terms, "term", small_fits=small
+        weighted_terms(vocabulary, index, form), asked_terms.drop("bucket"), "term", small_fits=small
     )
-    postings = _matching(index.postings, wanted, index.buckets).select("term", "doc_id", "tf", "dl")
+    postings = _matching(index.postings, rows).select("term", "doc_id", "tf", "dl")
     matched = join_checked(
         postings, weights.select("term", "query_id", "qtf", "idf"), "term",
         spread="doc_id", small_fits=small,
     )
-    weight = vx.term_weight(F.col("tf"), F.col("dl"), F.lit(numbers["avgdl"]), k1, b)
+    weight = vx.term_weight(F.col("tf"), F.col("dl"), F.lit(index.avgdl), k1, b)
     parts = matched.select(
         "query_id", "doc_id", (F.col("qtf") * F.col("idf") * weight).alias("part")
     )
     asked = asked_terms.select("query_id").distinct()
-    for zero in _zero_rows(index, asked, k, numbers["mean_idf"] if form == FLOORED else 0.0):
+    for zero in _zero_rows(index, asked, k, index.mean_idf if form == FLOORED else 0.0):
         parts = parts.unionByName(zero)
     total = F.round(F.sum("part"), SCORE_DIGITS)
     return parts.groupBy("query_id", "doc_id").agg(

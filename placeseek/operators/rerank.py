@@ -72,14 +72,14 @@ def attribute_match(posts: DataFrame, tags: Mapping[str, Sequence[str]]) -> Data
     return words.select("id", (hit / max(1, len(tags))).alias("attribute_share"))
 
 
-def query_overlap(candidates: DataFrame, queries: DataFrame, posts: DataFrame) -> DataFrame:
-    """(query_id, id, overlap): distinct query words in the post over distinct query words."""
+def query_overlap(found: DataFrame, queries: DataFrame) -> DataFrame:
+    """(query_id, id, overlap): distinct query words in the post over distinct query words.
+
+    ``found`` holds hits joined to the bodies of their posts.
+    """
     asked = queries.select("query_id", F.array_distinct(tx.tokens(F.col("query"))).alias("_q"))
-    bodies = posts.select("id", F.array_distinct(tx.tokens(F.col("content"))).alias("_w"))
-    pairs = join_checked(
-        join_checked(bodies, candidates.select("query_id", "id"), "id", spread="_w"),
-        asked, "query_id", spread="id",
-    )
+    bodies = found.select("query_id", "id", F.array_distinct(tx.tokens(F.col("content"))).alias("_w"))
+    pairs = join_checked(bodies, asked, "query_id", spread="id")
     return pairs.select(
         "query_id", "id",
         F.when(

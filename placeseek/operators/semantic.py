@@ -5,18 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from placeseek.functions import kernels
 from placeseek.functions import text as tx
 from placeseek.functions import values as vx
 from placeseek.operators.topk import top_k
 
-DISTANCE_DIGITS = 6
 # Query vectors that travel with one job; larger batches take several jobs.
 QUERY_BLOCK = 1024
 DEFAULT_DIM = 64
@@ -47,11 +45,7 @@ def encode_with(
     return df.withColumn(out, predict(tx.encoder_text(F.col(text))))
 
 
-@F.pandas_udf("array<double>")
-def _dense(slots: pd.Series, amounts: pd.Series, dim: pd.Series) -> pd.Series:
-    return pd.Series(
-        [np.bincount(s, weights=a, minlength=d) for s, a, d in zip(slots, amounts, dim)]
-    )
+_dense = F.pandas_udf(kernels.dense, T.ArrayType(T.DoubleType()))
 
 
 def encode_hashed(df: DataFrame, text: str, keys: list[str], dim: int = DEFAULT_DIM) -> DataFrame:
@@ -131,50 +125,6 @@ def _query_blocks(queries: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]
             yield ids, np.array([r["embedding"] for r in rows], dtype=np.float64)
 
 
-def _keep_best(columns, distances, ids, k):
-    """Positions of the k smallest (distance, id) pairs of each column."""
-    order = np.lexsort((ids, distances, columns))
-    sorted_columns = columns[order]
-    starts = np.flatnonzero(np.r_[True, sorted_columns[1:] != sorted_columns[:-1]])
-    place = np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)]))
-    return order[place < k]
-
-
-def _nearest_in_batches(query_ids: np.ndarray, matrix: np.ndarray, k: int):
-    """Task function: the k nearest stored vectors of its own rows, per query."""
-    squared = (matrix**2).sum(axis=1)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = np.empty(0, dtype=np.int64)
-        distances = np.empty(0)
-        ids = np.empty(0, dtype=np.int64)
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            stored_ids = batch.column(0).to_numpy(zero_copy_only=False)
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-            stored = flat.reshape(batch.num_rows, -1).astype(np.float64)
-            gaps = (stored**2).sum(axis=1)[:, None] + squared[None, :] - 2.0 * stored @ matrix.T
-            gaps = np.round(np.maximum(gaps, 0.0), DISTANCE_DIGITS)
-            if len(gaps) > k:
-                bound = np.partition(gaps, k - 1, axis=0)[k - 1]
-                row, column = np.nonzero(gaps <= bound[None, :])
-            else:
-                row, column = np.nonzero(np.ones_like(gaps, dtype=bool))
-            columns = np.r_[columns, column]
-            distances = np.r_[distances, gaps[row, column]]
-            ids = np.r_[ids, stored_ids[row]]
-            best = _keep_best(columns, distances, ids, k)
-            columns, distances, ids = columns[best], distances[best], ids[best]
-        if len(ids):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(query_ids[columns]), pa.array(ids), pa.array(distances)],
-                names=["query_id", "id", "distance"],
-            )
-
-    return run
-
-
 def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Exact k nearest ``vectors(id, embedding)`` per ``queries(query_id, embedding)``.
 
@@ -188,7 +138,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     found = None
     for ids, matrix in _query_blocks(queries):
         part = stored.mapInArrow(
-            _nearest_in_batches(ids, matrix, k), "query_id long, id long, distance double"
+            kernels.nearest_in_batches(ids, matrix, k), "query_id long, id long, distance double"
         )
         found = part if found is None else found.unionByName(part)
     if found is None:

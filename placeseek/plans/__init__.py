@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("lexical",)
+MODULES = ("sources", "pages", "lexical", "semantic", "results", "statistics", "signals")
 
 
 def load_all() -> None:

@@ -12,7 +12,6 @@ from placeseek.sources.tables import table
 
 TOP = 12
 BATCH_TOP = 5
-PHRASE = "the quick erthat est de la und nicht"
 THREE_TERMS = "the est and"
 
 
@@ -68,7 +67,7 @@ def document_frequency(spark, folder):
 
 def _weights(spark, folder, form):
     index = shared.corpus_index(spark, folder)
-    weighted = lexical.weighted_terms(index.terms, index.numbers(), form)
+    weighted = lexical.weighted_terms(index.terms, index, form)
     return weighted.select("term", F.round("idf", 6).alias("idf"))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,26 @@ def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_chars: int = BROADCA
     return row[0] <= max_rows and (row[1] or 0) <= max_chars
 
 
+def localised(df: DataFrame, max_rows: int = 20_000) -> tuple[DataFrame, list | None]:
+    """``df`` as a local table together with its rows when it has at most ``max_rows``.
+
+    Otherwise ``df`` itself and None. Small request tables are thus computed once, and
+    the optimizer knows their size.
+    """
+    arrow = df.limit(max_rows + 1).toArrow()
+    if arrow.num_rows > max_rows:
+        return df, None
+    return df.sparkSession.createDataFrame(arrow, df.schema), arrow.to_pylist()
+
+
+def one_of(column: str, values: Sequence[int] | Sequence[str]) -> Column:
+    """``column IN (values)`` for numbers or words, built in one step however many."""
+    if any(isinstance(v, str) and ("'" in v or "\\" in v) for v in values):
+        return F.col(column).isin(list(values))
+    listed = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+    return F.expr(f"`{column}` IN ({listed})") if values else F.lit(False)
+
+
 def join_checked(
     large: DataFrame,
     small: DataFrame,
