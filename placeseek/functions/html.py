@@ -119,7 +119,7 @@ def description_older(markup: Column) -> Column:
     og = _meta(markup, "property", "og:description")
     plain = _meta(markup, "name", "description")
     tag = F.when(og != "", og).when(plain != "", plain)
-    return F.trim(_attribute(tag, "content"))
+    return F.when(tag.isNotNull(), F.trim(_attribute(tag, "content")))
 
 
 def author(markup: Column) -> Column:
@@ -142,7 +142,7 @@ def author_older(markup: Column) -> Column:
     first = _meta(markup, "property", "author")
     second = _meta(markup, "name", "author")
     tag = F.when(first != "", first).when(second != "", second)
-    return F.trim(_attribute(tag, "content"))
+    return F.when(tag.isNotNull(), F.trim(_attribute(tag, "content")))
 
 
 def _element(markup: Column, name: str, attribute: str, value: str) -> Column:

@@ -59,6 +59,12 @@ def coordinate(value: Column, zero_is_missing: bool = False) -> Column:
     return F.nullif(out, F.lit(0.0)) if zero_is_missing else out
 
 
+def half_up(value: Column, digits: int) -> Column:
+    """Round the binary value; a built-in rounds the decimal text and may differ on ties."""
+    scale = float(10**digits)
+    return F.floor(value * scale + 0.5) / scale
+
+
 def norm(vector: Column) -> Column:
     squares = F.transform(vector, lambda x: x.cast("double") * x.cast("double"))
     return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, x: acc + x))

@@ -59,7 +59,7 @@ def shaped(found: DataFrame, model: str) -> DataFrame:
     def text(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(""))
 
-    value = F.round(F.col("score" if lexical else "distance"), SHOWN_DIGITS)
+    value = vx.half_up(F.col("score" if lexical else "distance"), SHOWN_DIGITS)
     return found.select(
         "query_id",
         "rank",

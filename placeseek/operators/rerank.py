@@ -180,9 +180,10 @@ def activity_change(
     activity give no row. ``late`` bounds how late events of a stream may come; it counts
     from the end of the window after the newest event.
     """
-    own = F.struct(F.col(time).alias("_t"), F.lit(1).alias("_n"), F.lit(1).alias("_d"))
+    at = F.col(time) if late is None else F.col(time).cast("timestamp")
+    own = F.struct(at.alias("_t"), F.lit(1).alias("_n"), F.lit(1).alias("_d"))
     later = F.struct(
-        (F.col(time) + F.expr(f"INTERVAL {window}")).alias("_t"),
+        (at + F.expr(f"INTERVAL {window}")).alias("_t"),
         F.lit(0).alias("_n"),
         F.lit(-1).alias("_d"),
     )

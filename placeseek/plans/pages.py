@@ -37,7 +37,7 @@ def sql_strip(x: str) -> str:
 
 
 PARAGRAPHS = f"""list_transform(
-  list_slice(string_split_regex(regexp_replace(html, '{hx.INVISIBLE}', '', 'g'), '{hx.PARAGRAPH_OPEN}'), 2, NULL),
+  (string_split_regex(regexp_replace(html, '{hx.INVISIBLE}', '', 'g'), '{hx.PARAGRAPH_OPEN}'))[2:],
   lambda p: regexp_replace({sql_decode(sql_strip(f"string_split_regex(p, '{hx.PARAGRAPH_CLOSE}')[1]"))}, '^{tx.SPACES}|{tx.SPACES}$', '', 'g'))"""
 BODY_CLEAN = shared.sql_clean(
     f"array_to_string(list_transform({PARAGRAPHS}, lambda q: {shared.sql_clean('q')}), ' ')"

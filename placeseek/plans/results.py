@@ -37,6 +37,7 @@ def _flat(shaped):
     )
 
 
+SHOWN = "floor({} * 10000.0::DOUBLE + 0.5::DOUBLE) / 10000.0::DOUBLE"
 PREVIEW = "substr(content, 1, 300) || CASE WHEN length(content) > 300 THEN '...' ELSE '' END"
 COUNTRY = ("CASE WHEN location_name IS NULL OR strpos(location_name, ',') = 0 THEN '' "
            "ELSE trim(string_split(location_name, ',')[-1]) END")
@@ -46,10 +47,10 @@ def sql_flat(source: str, lexical: bool) -> str:
     """Flat record of ``source`` rows joined to posts."""
     if lexical:
         place, lat, lon = "coalesce(location_name, 'Unknown')", "nullif(latitude, 0)", "nullif(longitude, 0)"
-        score, distance = "round(score, 4)", "CAST(NULL AS DOUBLE)"
+        score, distance = SHOWN.format("score"), "CAST(NULL AS DOUBLE)"
     else:
         place, lat, lon = "location_name", "latitude", "longitude"
-        score, distance = "CAST(NULL AS DOUBLE)", "round(distance, 4)"
+        score, distance = "CAST(NULL AS DOUBLE)", SHOWN.format("distance")
     return f"""
 SELECT query_id, rank, h.id, {place} AS destination, {COUNTRY} AS country, {lat} AS lat, {lon} AS lon,
        {score} AS score, {distance} AS distance,
@@ -144,7 +145,7 @@ def snippets(spark, folder):
 
 @query(
     "e6_rounded_scores",
-    f"WITH {shared.sql_hits(FEW)} SELECT query_id, id, round(score, 4) AS score FROM hits",
+    f"WITH {shared.sql_hits(FEW)} SELECT query_id, id, {SHOWN.format('score')} AS score FROM hits",
 )
 def rounded_scores(spark, folder):
     found = search.lexical_hits(shared.collection(spark, folder), _asked(spark, folder, FEW))
@@ -246,7 +247,7 @@ def responses(spark, folder):
 @query(
     "e12_rank_numbers",
     f"""WITH {shared.sql_hits(FEW)} SELECT query_id, id,
-row_number() OVER (PARTITION BY query_id ORDER BY round(score, 4) DESC, id) AS rank FROM hits""",
+row_number() OVER (PARTITION BY query_id ORDER BY {SHOWN.format('score')} DESC, id) AS rank FROM hits""",
 )
 def rank_numbers(spark, folder):
     found = search.lexical_hits(shared.collection(spark, folder), _asked(spark, folder, FEW))
@@ -301,7 +302,7 @@ def explanations(spark, folder):
 @query(
     "f7_result_summary",
     f"""WITH {shared.sql_hits(TOP)}
-SELECT query_id, count(*) AS hits, round(avg(round(score, 4)), 4) AS mean_score, CAST(NULL AS DOUBLE) AS mean_distance
+SELECT query_id, count(*) AS hits, round(avg({SHOWN.format('score')}), 4) AS mean_score, CAST(NULL AS DOUBLE) AS mean_distance
 FROM hits GROUP BY query_id""",
 )
 def result_summary(spark, folder):
@@ -311,9 +312,9 @@ def result_summary(spark, folder):
     )
 
 
-MAPPED = """
+MAPPED = f"""
 points AS (
-  SELECT query_id, h.id, latitude AS lat, longitude AS lon, round(distance, 4) AS value
+  SELECT query_id, h.id, latitude AS lat, longitude AS lon, {SHOWN.format('distance')} AS value
   FROM near h JOIN posts p ON p.id = h.id WHERE latitude IS NOT NULL AND longitude IS NOT NULL)"""
 
 

@@ -239,7 +239,8 @@ def trend_change(spark, folder):
 def trend_change_stream(spark, folder):
     """The same on a stream; the last windows stay open until later events close them."""
     events = table(spark, folder, "events")
-    stream = spark.readStream.schema(events.schema).parquet(f"{folder}/events.parquet")
+    # As a pattern, the location may be a single file as well as a folder of files.
+    stream = spark.readStream.schema(events.schema).parquet(f"{folder}/events[.]parquet")
     path = work_path(spark, "changes")
     changes = activity_change_stream(stream, "ts", "event_type", "1 day", late="2 days")
     (

@@ -9,6 +9,8 @@ from placeseek.operators.positions import with_part_number
 from placeseek.schema import POST, RANKED_EXPORT
 
 PART_ROWS = 300
+# How a missing value is written, as opposed to an empty text.
+MISSING = "\\N"
 
 
 def read_csv(spark: SparkSession, path: str, schema=POST) -> DataFrame:
@@ -21,19 +23,22 @@ def read_csv(spark: SparkSession, path: str, schema=POST) -> DataFrame:
         .option("escape", '"')
         .option("maxCharsPerColumn", -1)
         .option("encoding", "UTF-8")
+        .option("nullValue", MISSING)
         .csv(path)
     )
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Every text quoted, quotes doubled, so that any reader gets the same fields."""
+    """Quotes doubled, blanks kept, missing values marked."""
     (
         df.write.mode("overwrite")
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("quoteAll", True)
-        .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .option("emptyValue", '""')
+        .option("nullValue", MISSING)
         .csv(path)
     )
 
