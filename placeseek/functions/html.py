@@ -61,8 +61,8 @@ def title_text(markup: Column) -> Column:
     return F.trim(decode(strip_tags(title_raw(markup))))
 
 
-def paragraphs(markup: Column) -> Column:
-    """All paragraph texts as one string, separated by ``BREAK``; empty if none.
+def paragraph_markup(markup: Column) -> Column:
+    """Paragraphs without tags as one string, separated by ``BREAK``; empty if none.
 
     A paragraph runs to its end tag or to the next paragraph, whichever comes first.
     """
@@ -72,22 +72,17 @@ def paragraphs(markup: Column) -> Column:
         F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1))),
         lambda piece: F.get(F.split(piece, PARAGRAPH_CLOSE, 2), 0),
     )
-    stripped = decode(strip_tags(F.array_join(inner, BREAK)))
-    between = F.regexp_replace(stripped, rf"[{tx.SPACE_SET}]*\x01[{tx.SPACE_SET}]*", BREAK)
-    return F.regexp_replace(between, f"^{tx.SPACES}|{tx.SPACES}$", "")
+    return strip_tags(F.array_join(inner, BREAK))
 
 
-def body_clean(markup: Column) -> Column:
-    """Every paragraph cleaned, joined by a space, and the whole cleaned again."""
-    each = tx.clean_text(paragraphs(markup))
-    return tx.clean_text(F.replace(each, F.lit(BREAK), F.lit(" ")))
+def trimmed_paragraphs(text: Column) -> Column:
+    between = F.regexp_replace(text, rf"[{tx.SPACE_SET}]*\x01[{tx.SPACE_SET}]*", BREAK)
+    return F.regexp_replace(between, f"^{tx.SPACES}|{tx.SPACES}$", "")
 
 
-def body_long(markup: Column, longer_than: int = 30) -> Column:
-    """Paragraphs of more than ``longer_than`` characters, one per line."""
-    kept = F.filter(
-        F.split(paragraphs(markup), BREAK), lambda p: F.char_length(p) > longer_than
-    )
+def longer_paragraphs(paragraphs: Column, than: int = 30) -> Column:
+    """Paragraphs of more than ``than`` characters, one per line."""
+    kept = F.filter(F.split(paragraphs, BREAK), lambda p: F.char_length(p) > than)
     return F.array_join(kept, "\n")
 
 

@@ -20,6 +20,9 @@ SPACE_SET = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 SPACES = f"[{SPACE_SET}]+"
+NOT_SPACES = f"[^{SPACE_SET}]+"
+# Runs that are not already a single blank; leaving those alone saves most replacements.
+UNEVEN_SPACES = rf"[{SPACE_SET}&&[^ ]][{SPACE_SET}]*| [{SPACE_SET}]+"
 
 # Typographic quotes and dashes, and what they become.
 CURLY = "“”‘’–—"
@@ -41,31 +44,38 @@ NFKC_STABLE = (
 _nfkc_batch = F.pandas_udf(kernels.nfkc, T.StringType())
 
 
+def _unstable(text: Column) -> Column:
+    """True where normalisation could change something; ASCII is told by its length."""
+    return (F.octet_length(text) != F.char_length(text)) & text.rlike(f"[^{NFKC_STABLE}]")
+
+
 def nfkc(text: Column) -> Column:
     """Compatibility normalisation.
 
     Spark has no built-in for it, so texts go to Python in Arrow batches, and only the
     texts that hold a character outside the stable ranges are sent.
     """
-    unstable = F.when(text.rlike(f"[^{NFKC_STABLE}]"), text)
-    return F.coalesce(_nfkc_batch(unstable), text)
+    return F.coalesce(_nfkc_batch(F.when(_unstable(text), text)), text)
 
 
 def squeeze(text: Column) -> Column:
     """Runs of white space become one space; none at the ends."""
-    return F.trim(F.regexp_replace(text, SPACES, " "))
+    return F.trim(F.regexp_replace(text, UNEVEN_SPACES, " "))
 
 
 def clean_text(text: Column, normalise: bool = True) -> Column:
-    """Straighten quotes and dashes, normalise, drop punctuation, lower-case, squeeze."""
-    out = F.translate(text, CURLY, STRAIGHT)
+    """Straighten quotes and dashes, normalise, drop punctuation, lower-case, squeeze.
+
+    Straightened quotes are dropped and straightened dashes become blanks, so where
+    nothing needs normalising one replacement of characters does all of it.
+    """
+    out = F.translate(text, "–—-" + DELETED + "“”‘’", "   ")
     if normalise:
-        out = nfkc(out)
-    out = F.regexp_replace(out, SPACES, " ")
-    out = F.translate(out, DELETED, "")
+        straight = F.translate(text, CURLY, STRAIGHT)
+        changed = _nfkc_batch(F.when(_unstable(text), straight))
+        out = F.coalesce(F.translate(changed, "-" + DELETED, " "), out)
     out = F.replace(out, F.lit("&"), F.lit("and"))
     out = F.replace(out, F.lit("@"), F.lit("at"))
-    out = F.replace(out, F.lit("-"), F.lit(" "))
     return squeeze(F.lower(out))
 
 
@@ -112,10 +122,7 @@ def with_term_bag(df: DataFrame, text: Column, keep: Sequence[str]) -> DataFrame
 
 def word_count(text: Column) -> Column:
     """Number of pieces between white space; null text counts as empty."""
-    trimmed = squeeze(F.coalesce(text, F.lit("")))
-    return F.when(trimmed == "", F.lit(0)).otherwise(
-        F.length(trimmed) - F.length(F.replace(trimmed, F.lit(" "), F.lit(""))) + 1
-    )
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(NOT_SPACES))
 
 
 def search_text(title: Column, description: Column, content: Column) -> Column:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placeseek.functions import html as hx
+from placeseek.functions import text as tx
 from placeseek.functions import urls as ux
 from placeseek.operators.topk import top_k
 
@@ -50,10 +51,43 @@ def first_pages(pages: DataFrame, n: int = PAGES_PER_SITE, order: str = "pos") -
     return top_k(pages, ["site"], [F.asc(order)], n, order, rank="place")
 
 
-def with_body(pages: DataFrame, body: Column, status: str | None = None) -> DataFrame:
-    """Pages that were served and have text, with that text as ``content``."""
-    served = pages if status is None else pages.filter(F.col(status) == 200)
-    return served.withColumn("content", body).filter(F.col("content") != "")
+# Each step below is a column of its own. Later steps use it more than once, and as a
+# column it is still computed once.
+
+
+def with_paragraphs(pages: DataFrame, markup: str = "html", out: str = "paragraphs") -> DataFrame:
+    """Add the readable paragraphs as one text."""
+    return (
+        pages.withColumn("_stripped", hx.paragraph_markup(F.col(markup)))
+        .withColumn("_decoded", hx.decode(F.col("_stripped")))
+        .withColumn(out, hx.trimmed_paragraphs(F.col("_decoded")))
+        .drop("_stripped", "_decoded")
+    )
+
+
+def with_clean_body(pages: DataFrame, markup: str = "html", out: str = "content") -> DataFrame:
+    """Every paragraph cleaned, joined by a space, and the whole cleaned again."""
+    return (
+        with_paragraphs(pages, markup, "_paragraphs")
+        .withColumn("_each", tx.clean_text(F.col("_paragraphs")))
+        .withColumn("_joined", F.replace("_each", F.lit(hx.BREAK), F.lit(" ")))
+        .withColumn(out, tx.clean_text(F.col("_joined")))
+        .drop("_paragraphs", "_each", "_joined")
+    )
+
+
+def with_long_body(pages: DataFrame, markup: str = "html", out: str = "content") -> DataFrame:
+    """Longer paragraphs, one per line."""
+    return (
+        with_paragraphs(pages, markup, "_paragraphs")
+        .withColumn(out, hx.longer_paragraphs(F.col("_paragraphs")))
+        .drop("_paragraphs")
+    )
+
+
+def served(pages: DataFrame, status: str = "status") -> DataFrame:
+    """Pages that were served and have text."""
+    return with_long_body(pages.filter(F.col(status) == 200)).filter(F.col("content") != "")
 
 
 def extracted(pages: DataFrame) -> DataFrame:
@@ -63,8 +97,9 @@ def extracted(pages: DataFrame) -> DataFrame:
     The URL rule comes first, so bodies of rejected pages are never parsed.
     """
     url, markup = F.col("url"), F.col("html")
+    usable = pages.filter(ux.is_usable(url) & markup.isNotNull())
     return (
-        pages.filter(ux.is_usable(url) & markup.isNotNull())
+        with_clean_body(usable)
         .select(
             "page_id",
             ux.site_root(url).alias("blog_url"),
@@ -72,7 +107,7 @@ def extracted(pages: DataFrame) -> DataFrame:
             hx.title_raw(markup).alias("page_title"),
             hx.description(markup).alias("page_description"),
             hx.author(markup).alias("page_author"),
-            hx.body_clean(markup).alias("content"),
+            "content",
         )
         .filter(F.col("page_title").isNotNull())
     )
@@ -81,15 +116,16 @@ def extracted(pages: DataFrame) -> DataFrame:
 def scraped(pages: DataFrame) -> DataFrame:
     """Older record form, six text fields, for pages that have paragraphs."""
     url, markup = F.col("url"), F.col("html")
-    body = with_body(
-        pages.filter(ux.has_no_banned_word(url) & (ux.site_root(url) != "")),
-        hx.body_long(markup),
-    )
-    return body.select(
-        "url",
-        hx.title_text(markup).alias("title"),
-        hx.description_older(markup).alias("description"),
-        hx.author_older(markup).alias("author"),
-        "content",
-        ux.site_root(url).alias("base_domain"),
+    wanted = pages.filter(ux.has_no_banned_word(url) & (ux.site_root(url) != ""))
+    return (
+        with_long_body(wanted)
+        .filter(F.col("content") != "")
+        .select(
+            "url",
+            hx.title_text(markup).alias("title"),
+            hx.description_older(markup).alias("description"),
+            hx.author_older(markup).alias("author"),
+            "content",
+            ux.site_root(url).alias("base_domain"),
+        )
     )

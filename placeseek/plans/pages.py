@@ -11,7 +11,7 @@ from placeseek.functions import values as vx
 from placeseek.operators import build, extract, gazetteer
 from placeseek.plans import shared
 from placeseek.plans.registry import query
-from placeseek.sources.tables import posts_from_documents, table
+from placeseek.sources.tables import dealt_out, posts_from_documents, table
 
 STOP_WORDS = ("the", "of", "and", "de", "la", "der", "und")
 
@@ -46,7 +46,7 @@ BODY_LONG = f"array_to_string(list_filter({PARAGRAPHS}, lambda q: length(q) > 30
 
 
 def _pages(spark, folder):
-    return table(spark, folder, "pages")
+    return dealt_out(table(spark, folder, "pages"), "page_id")
 
 
 @query("b1_usable_urls", f"SELECT page_id, url, ({USABLE}) AS usable FROM pages")
@@ -229,12 +229,12 @@ def author(spark, folder):
 
 @query("b11_body_clean", f"SELECT page_id, {BODY_CLEAN} AS content FROM pages")
 def body_clean(spark, folder):
-    return _pages(spark, folder).select("page_id", hx.body_clean(F.col("html")).alias("content"))
+    return extract.with_clean_body(_pages(spark, folder)).select("page_id", "content")
 
 
 @query("b12_body_long_paragraphs", f"SELECT page_id, {BODY_LONG} AS content FROM pages")
 def body_long_paragraphs(spark, folder):
-    return _pages(spark, folder).select("page_id", hx.body_long(F.col("html")).alias("content"))
+    return extract.with_long_body(_pages(spark, folder)).select("page_id", "content")
 
 
 @query(
@@ -245,7 +245,7 @@ WHERE length(url) % 5 <> 0 AND content <> ''""",
 def served_pages(spark, folder):
     status = F.when(F.char_length("url") % 5 == 0, 404).otherwise(200)
     pages = _pages(spark, folder).withColumn("status", status)
-    return extract.with_body(pages, hx.body_long(F.col("html")), "status").select("page_id", "content")
+    return extract.served(pages).select("page_id", "content")
 
 
 @query(
