@@ -60,7 +60,7 @@ def quantiles(values: DataFrame, probabilities: Sequence[float]) -> DataFrame:
     a value that fills most of the data is a single row here.
     """
     placed = with_running_total(values, ["name", "value"], F.col("n"), "_upto")
-    totals = values.groupBy("name").agg(F.sum("n").alias("_total"))
+    totals = placed.groupBy("name").agg(F.sum("n").alias("_total"))
     # One row per summarised column.
     earlier = Window.orderBy("name").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.withColumn("_base", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))

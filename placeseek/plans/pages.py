@@ -261,7 +261,7 @@ def scraped_records(spark, folder):
 
 @query("b14_clean_text", f"SELECT doc_id AS id, {shared.sql_clean('text')} AS cleaned FROM documents")
 def clean_text(spark, folder):
-    return posts_from_documents(spark, folder, ("id", "content")).select(
+    return posts_from_documents(spark, folder, ("id", "content"), busy=True).select(
         "id", tx.clean_text(F.col("content")).alias("cleaned")
     )
 
@@ -282,7 +282,7 @@ def clean_conversations(spark, folder):
 lambda w: w <> '' AND w NOT IN {STOP_WORDS}), ' ') AS cleaned FROM documents""",
 )
 def clean_text_stop_words(spark, folder):
-    return posts_from_documents(spark, folder, ("id", "content")).select(
+    return posts_from_documents(spark, folder, ("id", "content"), busy=True).select(
         "id", tx.clean_text_without(F.col("content"), STOP_WORDS).alias("cleaned")
     )
 
@@ -315,7 +315,7 @@ KEY = f"array_to_string(regexp_extract_all(lower(location_name), '{gazetteer.WOR
 
 
 def _found(spark, folder):
-    posts = posts_from_documents(spark, folder, ("id", "page_title", "page_description"))
+    posts = posts_from_documents(spark, folder, ("id", "page_title", "page_description"), busy=True)
     return gazetteer.place_names(posts, shared.gazetteer(spark, folder), ["id"])
 
 

@@ -30,7 +30,8 @@ def _version(spark: SparkSession, folder: str, names: tuple[str, ...]) -> tuple:
 
 def searchable(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, text): what the index and the encoder read of each post."""
-    posts = posts_from_documents(spark, folder, ("id", "page_title", "page_description", "content"))
+    columns = ("id", "page_title", "page_description", "content")
+    posts = posts_from_documents(spark, folder, columns, busy=True)
     whole = tx.search_text(F.col("page_title"), F.col("page_description"), F.col("content"))
     return posts.select(F.col("id").alias("doc_id"), whole.alias("text"))
 

@@ -37,7 +37,7 @@ FOUND_CUES = (
 
 
 def _cues(spark, folder):
-    return rerank.cue_counts(posts_from_documents(spark, folder, ("id", "content")), CUES)
+    return rerank.cue_counts(posts_from_documents(spark, folder, ("id", "content"), busy=True), CUES)
 
 
 @query("g1_context_cues", f"WITH {WORDS}, {FOUND_CUES} SELECT * FROM cues WHERE n > 0")
@@ -70,7 +70,7 @@ def context_cue_maps(spark, folder):
 FROM (SELECT doc_id, {shared.sql_tokens('text')} AS w FROM documents)""",
 )
 def attribute_match(spark, folder):
-    shares = rerank.attribute_match(posts_from_documents(spark, folder, ("id", "content")), TAGS)
+    shares = rerank.attribute_match(posts_from_documents(spark, folder, ("id", "content"), busy=True), TAGS)
     return shares.select("id", F.round("attribute_share", 6).alias("attribute_share"))
 
 
@@ -198,7 +198,7 @@ numbered AS (SELECT id, w, unnest(range(0, CAST(greatest(ceil((len(w) - 50) / 40
 SELECT id, chunk, array_to_string(list_slice(w, chunk * 40 + 1, chunk * 40 + 50), ' ') AS text FROM numbered""",
 )
 def text_chunks(spark, folder):
-    parts = rerank.chunks(posts_from_documents(spark, folder, ("id", "content")), 50, 40)
+    parts = rerank.chunks(posts_from_documents(spark, folder, ("id", "content"), busy=True), 50, 40)
     return parts.select("id", F.col("chunk").cast("long").alias("chunk"), "text")
 
 

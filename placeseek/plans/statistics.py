@@ -19,7 +19,7 @@ WORDS = (
 
 
 def _posts(spark, folder, *columns):
-    return posts_from_documents(spark, folder, columns)
+    return posts_from_documents(spark, folder, columns, busy="content" in columns)
 
 
 PLACE = ("location_name", "latitude", "longitude")

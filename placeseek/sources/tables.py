@@ -85,16 +85,16 @@ def _line(text: Column, number: int) -> Column:
 
 
 def posts_from_documents(
-    spark: SparkSession, folder: str, columns: Iterable[str] = POST_COLUMNS
+    spark: SparkSession, folder: str, columns: Iterable[str] = POST_COLUMNS, busy: bool = False
 ) -> DataFrame:
     """Posts made of the document table; joins only what the asked columns need.
 
-    Title and description are the first two lines. Places come from the nation and
+    ``busy`` announces heavy work per row. Title and description are the first two lines. Places come from the nation and
     region tables, authors exist where a label does.
     """
     wanted = list(columns)
     docs = table(spark, folder, "documents")
-    if "content" in wanted:
+    if busy:
         docs = dealt_out(docs, "doc_id")
     built = {
         "id": F.col("doc_id").cast("long"),
