@@ -12,19 +12,16 @@ from placeseek.sources.store import first_per_key
 def placed_posts(pages: DataFrame, names: DataFrame) -> DataFrame:
     """Posts of all readable pages that name a known place, one per page address.
 
-    Place names are found on titles and descriptions alone and joined back by page, so
-    bodies stay out of that shuffle.
+    Places are found, and repeated addresses dropped, on titles and addresses alone;
+    bodies meet only the rows that stay, in one join.
     """
     posts = extract.extracted(pages)
-    found = gazetteer.place_names(
-        posts.select("page_id", "page_title", "page_description"), names, ["page_id"]
-    )
-    located = gazetteer.with_coordinates(found, names)
-    whole = gazetteer.placed_only(posts.join(located, "page_id"))
-    return first_per_key(
-        whole.select(
-            F.col("page_id").cast("long").alias("id"),
-            "blog_url", "page_url", "page_title", "page_description", "page_author",
-            "location_name", "latitude", "longitude", "content",
-        )
+    keys = ["page_id", "page_url"]
+    found = gazetteer.place_names(posts.select(*keys, "page_title", "page_description"), names, keys)
+    located = gazetteer.placed_only(gazetteer.with_coordinates(found, names))
+    kept = first_per_key(located, order="page_id").drop("page_url")
+    return posts.join(kept, "page_id").select(
+        F.col("page_id").cast("long").alias("id"),
+        "blog_url", "page_url", "page_title", "page_description", "page_author",
+        "location_name", "latitude", "longitude", "content",
     )

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from placeseek import sizing
 from placeseek.functions import text as tx
 from placeseek.functions import values as vx
 from placeseek.operators.topk import top_k
@@ -148,6 +149,10 @@ def _matching(table: DataFrame, rows: list | None) -> DataFrame:
     return table.filter(one_of("bucket", buckets)).filter(one_of("term", wanted))
 
 
+def _hot_terms(index: LexicalIndex) -> DataFrame:
+    return index.terms.filter(F.col("df") > sizing.HOT_ROWS).select("term")
+
+
 def _zero_rows(index: LexicalIndex, asked: DataFrame, k: int, mean_idf: float) -> Iterator[DataFrame]:
     """Rows of score 0 that make short result lists complete.
 
@@ -202,7 +207,7 @@ def score(
     postings = _matching(index.postings, rows).select("term", "doc_id", "tf", "dl")
     matched = join_checked(
         postings, weights.select("term", "query_id", "qtf", "idf"), "term",
-        spread="doc_id", small_fits=small,
+        spread="doc_id", small_fits=small, hot=_hot_terms(index),
     )
     weight = vx.term_weight(F.col("tf"), F.col("dl"), F.lit(index.avgdl), k1, b)
     parts = matched.select(
@@ -230,19 +235,21 @@ def search(
 
 
 def first_by_text(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(digest, first_id): for each distinct text the lowest id that carries it.
+    """(digest, first_id, copies): for each distinct text the lowest id that carries it.
 
     Texts are compared by a 256-bit digest, so the shuffle moves fixed-size keys, and
     copies of one text are reduced to one row before it.
     """
     return docs.groupBy(F.sha2(F.col(text), 256).alias("digest")).agg(
-        F.min("doc_id").alias("first_id")
+        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")
     )
 
 
 def resolve_by_text(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, first_id): where a lookup by text equality lands for each document."""
     digests = docs.select("doc_id", F.sha2(F.col(text), 256).alias("digest"))
+    firsts = first_by_text(docs, text)
+    hot = firsts.filter(F.col("copies") > sizing.HOT_ROWS).select("digest")
     return join_checked(
-        digests, first_by_text(docs, text), "digest", spread="doc_id", small_fits=False
+        digests, firsts, "digest", spread="doc_id", small_fits=False, hot=hot
     ).select("doc_id", "first_id")

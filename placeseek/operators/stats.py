@@ -37,11 +37,10 @@ def places(posts: DataFrame) -> DataFrame:
 def payload(posts: DataFrame) -> DataFrame:
     """Overview numbers next to every place row, as one flat table."""
     totals = overview(posts)
-    # ``totals`` is one row by construction: a global aggregate.
-    out = places(posts)
-    for name in totals.columns:
-        out = out.withColumn(name, totals.select(name).scalar())
-    return out
+    # A global aggregate is one row, so it can stand as a single value.
+    whole = totals.select(F.struct(*totals.columns)).scalar()
+    placed = places(posts)
+    return placed.withColumn("_o", whole).select(*placed.columns, "_o.*")
 
 
 def with_count_class(grouped: DataFrame, count: str = "cnt") -> DataFrame:
@@ -157,7 +156,8 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """(bin, cnt) for non-empty bins of equal width; the last one includes the maximum."""
     value = F.col(column).cast("double")
     ends = df.agg(F.min(value).alias("low"), F.max(value).alias("high"))
-    low, high = ends.select("low").scalar(), ends.select("high").scalar()
+    both = ends.select(F.struct("low", "high")).scalar()
+    low, high = both["low"], both["high"]
     width = (high - low) / bins
     place = F.when(width > 0, F.least(F.floor((value - low) / width), F.lit(bins - 1))).otherwise(0)
     return (

@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 BROADCAST_ROWS = 200_000
 BROADCAST_CHARS = 64 * 1024 * 1024
 SALTS = 32
+# Rows of one key that a single task handles without trouble.
+HOT_ROWS = 1_000_000
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_chars: int = BROADCAST_CHARS) -> bool:
@@ -51,6 +53,13 @@ def one_of(column: str, values: Sequence[int] | Sequence[str]) -> Column:
     return F.expr(f"`{column}` IN ({listed})") if values else F.lit(False)
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
+    """Keys with more rows than one task should get; at most (rows of df) / ``rows`` of them."""
+    bound = HOT_ROWS if rows is None else rows
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counted.filter(F.col("_n") > bound).select(*keys)
+
+
 def join_checked(
     large: DataFrame,
     small: DataFrame,
@@ -58,14 +67,16 @@ def join_checked(
     how: str = "inner",
     spread: str | Sequence[str] | None = None,
     small_fits: bool | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join ``large`` with ``small``, broadcasting ``small`` when it fits.
 
     Beyond the bound both sides are shuffled. ``spread`` names columns of ``large``
-    that vary inside a hot join key; rows of one key are then dealt over ``SALTS``
-    partitions and ``small`` is repeated once per salt, so no key lands in one task.
-    Salting keeps inner, left and semi results unchanged, since each row of ``large``
-    carries exactly one salt.
+    that vary inside a key: rows of a hot key are dealt over ``SALTS`` partitions by
+    them, and ``small`` is repeated once per salt for those keys only. ``hot`` lists the
+    hot keys where the caller knows them; otherwise they are counted first. Each row of
+    ``large`` carries exactly one salt, so inner, left, semi and anti joins keep their
+    results. Rows without a key are dealt out too, as they match nothing.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if small_fits is None:
@@ -75,6 +86,19 @@ def join_checked(
     if spread is None:
         return large.join(small, keys, how)
     columns = [spread] if isinstance(spread, str) else list(spread)
-    salted = large.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int"))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, keys + ["_salt"], how).drop("_salt")
+    listed, rows = localised(hot if hot is not None else hot_keys(large, keys))
+    marked = listed.withColumn("_hot", F.lit(True))
+    if rows is not None or fits(listed):
+        marked = F.broadcast(marked)
+    keyless = F.lit(False)
+    for key in keys:
+        keyless = keyless | F.col(key).isNull()
+    dealt = F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
+    salted = large.join(marked, keys, "left").withColumn(
+        "_salt", F.when(F.col("_hot") | keyless, dealt).otherwise(0)
+    )
+    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    copies = small.join(marked, keys, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
+    )
+    return salted.drop("_hot").join(copies.drop("_hot"), keys + ["_salt"], how).drop("_salt")

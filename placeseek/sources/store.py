@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from placeseek.operators.topk import top_k
 from placeseek.schema import POST
+from placeseek.sizing import localised
 from placeseek.sources.tables import POST_COLUMNS, duplicate_keys
 
 KEY = "page_url"
@@ -39,9 +40,19 @@ def first_per_key(arrivals: DataFrame, order: str = "id") -> DataFrame:
 
 
 def new_rows(arrivals: DataFrame, existing: DataFrame | None, order: str = "id") -> DataFrame:
-    """First rows of addresses that the table does not hold yet."""
+    """First rows of addresses that the table does not hold yet.
+
+    A small batch is compared by sending its addresses to the table, so the addresses
+    of the table need not be shuffled for every batch.
+    """
     fresh = first_per_key(arrivals, order)
-    return fresh if existing is None else fresh.join(existing.select(KEY), KEY, "left_anti")
+    if existing is None:
+        return fresh
+    keys, rows = localised(fresh.select(KEY))
+    taken = existing.select(KEY)
+    if rows is not None:
+        taken = taken.join(F.broadcast(keys), KEY, "left_semi")
+    return fresh.join(taken, KEY, "left_anti")
 
 
 def existing_posts(spark: SparkSession, path: str) -> DataFrame | None:

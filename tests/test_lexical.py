@@ -7,6 +7,7 @@ from collections import Counter
 
 import pytest
 
+from placeseek import sizing
 from placeseek.operators import lexical
 from placeseek.session import work_path
 from placeseek.sizing import join_checked
@@ -113,19 +114,24 @@ def test_large_batches_take_the_shuffled_way(spark, monkeypatch):
     want = found(spark, index, QUERIES, 4, lexical.FLOORED)
     monkeypatch.setattr(lexical, "localised", lambda df: (df, None))
     monkeypatch.setattr(lexical, "fits", lambda df: False)
+    monkeypatch.setattr(sizing, "HOT_ROWS", 2)
     assert found(spark, index, QUERIES, 4, lexical.FLOORED) == want
 
 
-def test_lookup_by_text(spark):
+@pytest.mark.parametrize("hot", [1, 1000])
+def test_lookup_by_text(spark, hot, monkeypatch):
+    monkeypatch.setattr(sizing, "HOT_ROWS", hot)
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a", "b", "a", "a", "b"])], "doc_id long, text string")
     rows = {r[0]: r[1] for r in lexical.resolve_by_text(docs).collect()}
     assert rows == {0: 0, 1: 1, 2: 0, 3: 0, 4: 1}
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(spark, how):
-    large = spark.range(2000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 1 ELSE id % 50 END AS k")
+def test_salted_join_equals_plain_join(spark, how, monkeypatch):
+    monkeypatch.setattr(sizing, "HOT_ROWS", 100)
+    key = "CASE WHEN id % 3 = 0 THEN 1 WHEN id % 5 = 0 THEN NULL ELSE id % 50 END AS k"
+    large = spark.range(2000).selectExpr("id", key)
     small = spark.range(0, 30).selectExpr("id AS k", "id * 2 AS v")
-    want = sorted(tuple(r) for r in large.join(small, "k", how).collect())
-    got = sorted(tuple(r) for r in join_checked(large, small, "k", how, spread="id", small_fits=False).collect())
+    want = sorted(map(str, large.join(small, "k", how).collect()))
+    got = sorted(map(str, join_checked(large, small, "k", how, spread="id", small_fits=False).collect()))
     assert got == want
