@@ -70,9 +70,13 @@ def main() -> None:
         drain(semantic.encode_hashed(shared.searchable(spark, FOLDER), "text", ["doc_id"]))
 
     for name, job in (("c12_index_build", index), ("d1_encode_corpus", vectors)):
+        if os.environ.get("BENCH_ONLY") and name not in os.environ["BENCH_ONLY"].split(","):
+            continue
         job()
         seconds[name] = timed(job)
-    for name in HEADLINE:
+    only = os.environ.get("BENCH_ONLY")
+    chosen = [n for n in HEADLINE if not only or n in only.split(",")]
+    for name in chosen:
         drain(QUERIES[name](spark, FOLDER))
         seconds[name] = timed(lambda: drain(QUERIES[name](spark, FOLDER)))
     print(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placeseek.operators import extract, gazetteer
+from placeseek.sizing import localised
 from placeseek.sources.store import first_per_key
 
 
@@ -15,6 +16,7 @@ def placed_posts(pages: DataFrame, names: DataFrame) -> DataFrame:
     Places are found, and repeated addresses dropped, on titles and addresses alone;
     bodies meet only the rows that stay, in one join.
     """
+    names, _ = localised(names)
     posts = extract.extracted(pages)
     keys = ["page_id", "page_url"]
     found = gazetteer.place_names(posts.select(*keys, "page_title", "page_description"), names, keys)

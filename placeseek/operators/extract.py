@@ -42,8 +42,8 @@ def listed_pages(sitemaps: DataFrame) -> DataFrame:
     """One row per listed page with its position: (site, ..., pos, url)."""
     others = [c for c in sitemaps.columns if c != "body"]
     return sitemaps.select(
-        *others, F.posexplode(hx.sitemap_links(F.col("body"))).alias("pos", "url")
-    )
+        *others, F.posexplode_outer(hx.sitemap_links(F.col("body"))).alias("pos", "url")
+    ).filter(F.col("pos").isNotNull())
 
 
 def first_pages(pages: DataFrame, n: int = PAGES_PER_SITE, order: str = "pos") -> DataFrame:

@@ -18,20 +18,25 @@ def name_key(name: Column) -> Column:
     return F.array_join(F.regexp_extract_all(F.lower(name), F.lit(WORD_OR_MARK), F.lit(0)), " ")
 
 
-def _spans(df: DataFrame, keys: list[str], source: int, column: str, longest: int) -> DataFrame:
-    """Every run of one to ``longest`` words as a candidate name with its position."""
-    words = df.select(
-        *keys, F.regexp_extract_all(F.lower(F.col(column)), F.lit(WORD_OR_MARK), F.lit(0)).alias("_w"),
-        F.regexp_extract_all(F.col(column), F.lit(WORD_OR_MARK), F.lit(0)).alias("_o"),
-    )
-    at = words.select(*keys, "_w", "_o", F.posexplode("_w").alias("start", "_first"))
-    sized = at.select(
-        *keys, "_w", "_o", "start",
-        F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("_w") - F.col("start")))).alias("len"),
+def _spans(posts: DataFrame, keys: list[str], longest: int) -> DataFrame:
+    """Every run of one to ``longest`` words of title (source 0) and description (1)."""
+    both = F.array(
+        F.struct(F.lit(0).alias("source"), F.col("page_title").alias("t")),
+        F.struct(F.lit(1).alias("source"), F.col("page_description").alias("t")),
     )
+    texts = posts.select(*keys, F.inline(both))
+
+    def words(text: Column) -> Column:
+        return F.regexp_extract_all(text, F.lit(WORD_OR_MARK), F.lit(0))
+
+    split = texts.select(*keys, "source", words(F.lower("t")).alias("_w"), words(F.col("t")).alias("_o"))
+    # The outer form keeps the optimizer from splitting every text twice to find empty ones.
+    at = split.select(*keys, "source", "_w", "_o", F.posexplode_outer("_w").alias("start", "_first"))
+    sizes = F.sequence(F.lit(1), F.least(F.lit(longest), F.size("_w") - F.col("start")))
+    sized = at.select(*keys, "source", "_w", "_o", "start", F.explode(sizes).alias("len"))
     return sized.select(
         *keys,
-        F.lit(source).alias("source"),
+        "source",
         "start",
         "len",
         F.array_join(F.slice("_w", F.col("start") + 1, F.col("len")), " ").alias("key"),
@@ -49,9 +54,7 @@ def place_names(
     Texts without any match yield no row.
     """
     names = gazetteer.select(name_key(F.col("name")).alias("key")).distinct()
-    spans = _spans(posts, keys, 0, "page_title", longest).unionByName(
-        _spans(posts, keys, 1, "page_description", longest)
-    )
+    spans = _spans(posts, keys, longest)
     matches = join_checked(spans, names, "key", spread=keys, small_fits=fits(names))
     # A group is the matches inside one title and one description.
     found = matches.groupBy(*keys).agg(

@@ -67,7 +67,8 @@ def build_index(docs: DataFrame, path: str, text: str = "text") -> LexicalIndex:
     spark = docs.sparkSession
     wanted = parallelism(spark)
     buckets = min(64, wanted)
-    salts = max(1, -(-2 * wanted // buckets))
+    # Several groups per task even out their sizes.
+    salts = -(-4 * wanted // buckets)
     tx.with_term_bag(docs, F.col(text), ["doc_id"]).write.parquet(f"{path}/forward")
     forward = spark.read.parquet(f"{path}/forward")
 
