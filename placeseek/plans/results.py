@@ -302,13 +302,13 @@ def explanations(spark, folder):
 @query(
     "f7_result_summary",
     f"""WITH {shared.sql_hits(TOP)}
-SELECT query_id, count(*) AS hits, round(avg({SHOWN.format('score')}), 4) AS mean_score, CAST(NULL AS DOUBLE) AS mean_distance
+SELECT query_id, count(*) AS hits, round(avg({SHOWN.format('score')}), 6) AS mean_score, CAST(NULL AS DOUBLE) AS mean_distance
 FROM hits GROUP BY query_id""",
 )
 def result_summary(spark, folder):
     found = search.lexical_hits(shared.collection(spark, folder), _asked(spark, folder))
     return hx.summary(found).select(
-        "query_id", "hits", F.round("mean_score", 4).alias("mean_score"), "mean_distance"
+        "query_id", "hits", F.round("mean_score", 6).alias("mean_score"), "mean_distance"
     )
 
 
