@@ -64,5 +64,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def parallelism(spark: SparkSession) -> int:
-    """Number of partitions asked for where the code must name one."""
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    """Number of partitions asked for where the code must name one.
+
+    A local session has no use for more than its cores; elsewhere the session's own
+    setting is meant for the data at hand.
+    """
+    wanted = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    if spark.sparkContext.master.startswith("local"):
+        return min(wanted, max(1, spark.sparkContext.defaultParallelism))
+    return wanted

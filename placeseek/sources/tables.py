@@ -76,7 +76,8 @@ def dealt_out(df: DataFrame, key: str, below: int = 256 * 1024 * 1024) -> DataFr
         few = 0 < len(files) <= 64
         sizes = spark.read.format("binaryFile").load(files) if few else None
         _small[seen] = few and sizes.agg(F.sum("length")).first()[0] < below
-    return df.repartition(parallelism(spark), key) if _small[seen] else df
+    cores = max(1, spark.sparkContext.defaultParallelism)
+    return df.repartition(min(cores, parallelism(spark)), key) if _small[seen] else df
 
 
 def _line(text: Column, number: int) -> Column:
