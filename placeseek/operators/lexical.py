@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +23,8 @@ FLOOR_SHARE = 0.25
 SCORE_DIGITS = 6
 # Up to this many query terms are pushed down to the postings scan as a filter.
 PUSHED_TERMS = 200
-# Queries handled at once by the full fill of :func:`_zero_rows`.
-FILL_QUERIES = 1000
+# Stands for "no term" in postings that only name a document; no token is empty.
+NO_TERM = ""
 
 FLOORED = "floored"
 SMOOTHED = "smoothed"
@@ -154,33 +153,21 @@ def _hot_terms(index: LexicalIndex) -> DataFrame:
     return index.terms.filter(F.col("df") > sizing.HOT_ROWS).select("term")
 
 
-def _zero_rows(index: LexicalIndex, asked: DataFrame, k: int, mean_idf: float) -> Iterator[DataFrame]:
-    """Rows of score 0 that make short result lists complete.
+def _fillers(index: LexicalIndex, k: int, mean_idf: float) -> DataFrame:
+    """Postings of no term for documents that may have to complete a short result list.
 
     Every document has a score; those without a query term have 0. With no negative
     weight, fewer than k documents beat the zero ones whenever zero ones are needed,
     so the 2k lowest ids always hold enough of them. A negative mean weight (tiny
     vocabularies) breaks that, and then every document is listed.
     """
+    documents = index.documents.select("doc_id")
     if mean_idf >= 0:
-        pool = [r[0] for r in index.documents.select("doc_id").orderBy("doc_id").limit(2 * k).collect()]
-        if pool:
-            yield asked.select("query_id", F.explode(F.lit(pool).cast("array<long>")).alias("doc_id"), F.lit(0.0).alias("part"))
-        return
-    block: list[int] = []
-
-    def rows(query_ids: list[int]) -> DataFrame:
-        return index.documents.select(
-            F.explode(F.lit(query_ids).cast("array<long>")).alias("query_id"), "doc_id", F.lit(0.0).alias("part")
-        )
-
-    for row in asked.toLocalIterator():
-        block.append(row[0])
-        if len(block) == FILL_QUERIES:
-            yield rows(block)
-            block = []
-    if block:
-        yield rows(block)
+        documents, _ = localised(documents.orderBy("doc_id").limit(2 * k), 2 * k)
+    zero = F.lit(0).cast("long")
+    return documents.select(
+        F.lit(NO_TERM).alias("term"), "doc_id", zero.alias("tf"), zero.alias("dl")
+    )
 
 
 def score(
@@ -193,8 +180,11 @@ def score(
 ) -> DataFrame:
     """(query_id, doc_id, score) for every document that can be among the k best.
 
-    One scan of the postings of the query terms and one shuffle, for the sum. Repeats
-    of a query word count; words the corpus lacks add nothing.
+    The postings of the query terms are scanned and brought together by document, once
+    for all queries. After that the query terms are broadcast and every sum is complete
+    within its task, so a following top-k ships k rows per query and task, not one row
+    per query and matching document. Repeats of a query word count; words the corpus
+    lacks add nothing.
     """
     asked_terms, rows = localised(
         query_terms(queries).withColumn("bucket", bucket_of("term", index.buckets))
@@ -204,21 +194,25 @@ def score(
     vocabulary = _matching(index.terms, rows).select("term", "df")
     weights = join_checked(
         weighted_terms(vocabulary, index, form), asked_terms.drop("bucket"), "term", small_fits=small
+    ).select("term", "query_id", "qtf", "idf")
+    for_all = asked_terms.select("query_id").distinct().select(
+        F.lit(NO_TERM).alias("term"), "query_id", F.lit(1).cast("long").alias("qtf"), F.lit(0.0).alias("idf")
     )
     postings = _matching(index.postings, rows).select("term", "doc_id", "tf", "dl")
+    fillers = _fillers(index, k, index.mean_idf if form == FLOORED else 0.0)
+    if small:
+        # Only postings of asked terms are moved.
+        postings = postings.join(F.broadcast(asked_terms.select("term")), "term", "left_semi")
+        entries = postings.unionByName(fillers).repartition("doc_id")
+    else:
+        entries = postings.unionByName(fillers)
     matched = join_checked(
-        postings, weights.select("term", "query_id", "qtf", "idf"), "term",
+        entries, weights.unionByName(for_all), "term",
         spread="doc_id", small_fits=small, hot=_hot_terms(index),
     )
     weight = vx.term_weight(F.col("tf"), F.col("dl"), F.lit(index.avgdl), k1, b)
-    parts = matched.select(
-        "query_id", "doc_id", (F.col("qtf") * F.col("idf") * weight).alias("part")
-    )
-    asked = asked_terms.select("query_id").distinct()
-    for zero in _zero_rows(index, asked, k, index.mean_idf if form == FLOORED else 0.0):
-        parts = parts.unionByName(zero)
-    total = F.round(F.sum("part"), SCORE_DIGITS)
-    return parts.groupBy("query_id", "doc_id").agg(
+    total = F.round(F.sum(F.col("qtf") * F.col("idf") * weight), SCORE_DIGITS)
+    return matched.groupBy("query_id", "doc_id").agg(
         F.when(total == 0, F.lit(0.0)).otherwise(total).alias("score")
     )
 

@@ -112,7 +112,7 @@ def test_batch_equals_one_by_one(spark):
 def test_large_batches_take_the_shuffled_way(spark, monkeypatch):
     index = index_of(spark, CORPUS)
     want = found(spark, index, QUERIES, 4, lexical.FLOORED)
-    monkeypatch.setattr(lexical, "localised", lambda df: (df, None))
+    monkeypatch.setattr(lexical, "localised", lambda df, max_rows=0: (df, None))
     monkeypatch.setattr(lexical, "fits", lambda df: False)
     monkeypatch.setattr(sizing, "HOT_ROWS", 2)
     assert found(spark, index, QUERIES, 4, lexical.FLOORED) == want
