@@ -12,7 +12,7 @@ from placeseek.plans import shared
 from placeseek.plans.registry import query
 from placeseek.session import work_path
 from placeseek.sources import files
-from placeseek.sources.tables import posts_from_documents, table
+from placeseek.sources.tables import posts_from_documents
 
 TOP = 12
 FEW = 5
