@@ -5,8 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeseek.llm import matrices, ngram_join, packing, tokens
+from placeseek.llm import (
+    decontamination,
+    html_main,
+    licenses,
+    line_templates,
+    matrices,
+    ngram_join,
+    one_bit_search,
+    packing,
+    secrets,
+    tokens,
+    toxicity,
+)
 from placeseek.llm.registry import ORACLES, QUERIES, query, table
+from placeseek.session import stored
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -26,3 +39,42 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), tokens.default_path()).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", F.col("offset")
     )
+
+
+@query("op1_line_templates")
+def op1_line_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return line_templates.deduplicated(table(spark, folder, "documents")).select(
+        "doc_id", "text", "n_lines", "n_dropped"
+    )
+
+
+@query("op2_benchmark_templates")
+def op2_benchmark_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op7_toxicity_chain")
+def op7_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op5_html_main_text")
+def op5_html_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_main.extracted(table(spark, folder, "pages"))
+
+
+@query("op8_one_bit_search")
+def op8_one_bit_search(spark: SparkSession, folder: str) -> DataFrame:
+    indexed = stored(one_bit_search.index(table(spark, folder, "embeddings")), "codes")
+    asked = indexed.filter("vec_id % 20 = 0").dropDuplicates(["vec_id"])
+    return one_bit_search.nearest(indexed, asked)
+
+
+@query("op4_secret_forest")
+def op4_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.findings(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op10_license_sentences")
+def op10_license_sentences(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.recognised(table(spark, folder, "documents"))
