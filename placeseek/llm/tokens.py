@@ -8,12 +8,10 @@ white space (runs, tabs, leading or trailing blanks) are encoded whole by the to
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 import numpy as np
 
-ODD_SPACE = re.compile(r"\s\s|^\s|\s$|[^\S\n ]")
 MARKS = '.,;:!?#$%&*()"|-'
 CACHE_ENTRIES = 800_000
 
@@ -33,52 +31,59 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.entries = cache_entries
-        self.led: dict[str, bytes] = {}  # pieces behind a blank
-        self.bare: dict[str, bytes] = {}  # pieces at the start of a line
+        self.led: dict[str, bytes | None] = {}  # pieces behind a blank
+        self.bare: dict[str, bytes | None] = {}  # pieces at the start of a line
         self.newline = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _encode_pieces(self, pieces: Sequence[str]) -> list[bytes]:
+    def _encode_pieces(self, pieces: Sequence[str], lead: str) -> list[bytes]:
         """Ids of pieces without white space inside, encoded in one text, a line each."""
-        ids = np.array(self.tokenizer.encode("\n".join(pieces), add_special_tokens=False).ids, dtype="<u4")
+        out: list[bytes] = []
         mark = np.frombuffer(self.newline, dtype="<u4")[0]
-        return [part.tobytes() for part in np.split(ids, np.flatnonzero(ids == mark))]
-
-    def _learn(self, cache: dict[str, bytes], missing: set[str], lead: str) -> None:
-        """Fill ``cache``; marks behind a word are encoded apart, as the pattern parts them too."""
-        stems: dict[str, tuple[str, str]] = {}
+        for at in range(0, len(pieces), 4096):
+            text = lead + ("\n" + lead).join(pieces[at : at + 4096])
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            ends = (4 * np.flatnonzero(ids == mark)).tolist()
+            data = ids.tobytes()
+            begins = [0, *[e + 4 for e in ends]]
+            out += [data[a:b] for a, b in zip(begins, [*ends, len(data)], strict=True)]
+        return out
+
+    def _learn(self, cache: dict[str, bytes | None], missing: set[str], lead: str) -> None:
+        """Fill ``cache``; marks behind a word are encoded apart, as the pattern parts them too.
+
+        Pieces that are empty or hold white space get None: their text is encoded whole.
+        """
+        plain, parted, tails = [], [], {}
         for piece in missing:
             stem = piece.rstrip(MARKS)
-            parted = stem and stem != piece and stem[-1].isalnum()
-            stems[piece] = (stem, piece[len(stem) :]) if parted else (piece, "")
-        wanted = [s for s in {s for s, _ in stems.values()} if s and s not in cache]
-        tails = [t for t in {t for _, t in stems.values()} if t]
-        known = {"": b""}
-        for texts, before in ((wanted, lead), (tails, "")):
-            target = cache if texts is wanted else known
-            for at in range(0, len(texts), 4096):
-                part = texts[at : at + 4096]
-                for k, (text, ids) in enumerate(zip(part, self._encode_pieces([before + x for x in part]), strict=True)):
-                    target[text] = ids[4:] if k else ids
-        for piece, (stem, tail) in stems.items():
-            if piece:
-                cache[piece] = cache[stem] + known[tail]
+            if not piece or piece.split() != [piece]:
+                cache[piece] = None
+            elif stem and len(stem) < len(piece) and stem[-1].isalnum():
+                parted.append((piece, stem))
+                tails[piece[len(stem) :]] = b""
+                if stem not in cache and stem not in missing:
+                    cache[stem] = b""
+                    plain.append(stem)
+            else:
+                plain.append(piece)
+        cache.update(zip(plain, self._encode_pieces(plain, lead), strict=True))
+        tails.update(zip(tails, self._encode_pieces(list(tails), ""), strict=True))
+        for piece, stem in parted:
+            cache[piece] = cache[stem] + tails[piece[len(stem) :]]
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of each text as bytes; null is the empty text."""
         if len(self.led) + len(self.bare) > self.entries:
             self.led.clear()
             self.bare.clear()
-        cut: list[list[list[str]] | None] = []
+        cut: list[list[list[str]]] = []
         led: set[str] = set()
         bare: set[str] = set()
         for text in texts:
-            if not text or ODD_SPACE.search(text):
-                cut.append(None)
-                continue
-            lines = [line.split(" ") for line in text.split("\n")]
+            lines = [line.split(" ") for line in text.split("\n")] if text else []
             for line in lines:
                 bare.add(line[0])
                 led.update(line[1:])
@@ -86,12 +91,13 @@ class Encoder:
         self._learn(self.bare, bare.difference(self.bare), "")
         self._learn(self.led, led.difference(self.led), " ")
         first, rest = self.bare, self.led.__getitem__
-        return [
-            (self.whole(text) if text else b"")
-            if lines is None
-            else self.newline.join([first[line[0]] + b"".join(map(rest, line[1:])) for line in lines])
-            for text, lines in zip(texts, cut, strict=True)
-        ]
+        out: list[bytes] = []
+        for text, lines in zip(texts, cut, strict=True):
+            try:
+                out.append(self.newline.join([first[line[0]] + b"".join(map(rest, line[1:])) for line in lines]))
+            except TypeError:
+                out.append(self.whole(text))
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
