@@ -8,9 +8,9 @@
    4 * common >= 3 * union share a shingle among their first n - ceil(3n/4) + 1.
 3. Sets that share a prefix shingle are candidates, after bounds on length and position.
    Buckets of up to ``HOT`` sets give their pairs. Larger ones first give the pairs with
-   their two leading sets only; components of the verified links then show which buckets
+   their two leading sets only (those with the fewest rare shingles); components of the verified links then show which buckets
    hold sets that are still apart, and only pairs across those components are looked at, in
-   blocks. A pair inside one component cannot change it, so no component is lost.
+   blocks, with bitmaps of the sets to bound the overlap. A pair inside one component cannot change it, so no component is lost.
 4. Candidates of one set are stored in a trie of globally ordered shingles and traversed
    against it: overlaps of shared branches are counted once, and branches are left when
    the shingles that remain cannot reach the needed overlap.
@@ -42,6 +42,8 @@ SKETCH_BITS = 20
 CHUNK_BITS = 14
 HOT = 64
 BLOCK = 256
+# Length of the bitmap of a set, a multiple of 64.
+BITMAP = 1024
 TRIE_STEP = 128
 # Entries of the caches that a worker keeps.
 CACHED = 1_000_000
@@ -84,6 +86,22 @@ def set_key(values: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(values.tobytes()) - (1 << 63)
 
 
+def bitmap(values: np.ndarray) -> bytes:
+    flags = np.zeros(BITMAP, dtype=bool)
+    flags[(values % np.uint64(BITMAP)).astype(np.int64)] = True
+    return np.packbits(flags).tobytes()
+
+
+def bitmap_overlap(size, bits: np.ndarray, sizes, others: np.ndarray):
+    """Upper bounds of the overlap of a set with others.
+
+    Each bit that only one of two bitmaps holds stands for a shingle that the other set lacks.
+    """
+    own = np.bitwise_count(bits & ~others).sum(axis=1, dtype=np.int64)
+    their = np.bitwise_count(others & ~bits).sum(axis=1, dtype=np.int64)
+    return np.minimum(size - own, sizes - their)
+
+
 def _batches(batches: Iterator[pa.RecordBatch]):
     """(ids, shingle sets) in pieces of bounded text."""
     for batch in batches:
@@ -93,7 +111,7 @@ def _batches(batches: Iterator[pa.RecordBatch]):
 
 
 def describe(docs: DataFrame, n: int = WORDS, bits: int = SKETCH_BITS) -> DataFrame:
-    """(doc_id, size, key) of every document, and (chunk, counts) rows of the sketch."""
+    """(doc_id, size, key, bits) of every document, and (chunk, counts) rows of the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(1 << bits, dtype=np.int64)
@@ -107,6 +125,7 @@ def describe(docs: DataFrame, n: int = WORDS, bits: int = SKETCH_BITS) -> DataFr
                     "doc_id": pa.array(ids, pa.int64()),
                     "size": pa.array([len(s) for s in sets], pa.int64()),
                     "key": pa.array([set_key(s) for s in sets], pa.int64()),
+                    "bits": pa.array(list(map(bitmap, sets)), pa.binary()),
                     "chunk": pa.array([None] * len(ids), pa.int32()),
                     "counts": pa.array([None] * len(ids), pa.binary()),
                 }
@@ -119,12 +138,15 @@ def describe(docs: DataFrame, n: int = WORDS, bits: int = SKETCH_BITS) -> DataFr
                 packed = np.concatenate([used, np.minimum(part[used], 65_535)]).astype("<u2")
                 none = pa.nulls(1, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [none, none, none, pa.array([chunk], pa.int32()), pa.array([packed.tobytes()], pa.binary())],
-                    names=["doc_id", "size", "key", "chunk", "counts"],
+                    [
+                        none, none, none, pa.nulls(1, pa.binary()),
+                        pa.array([chunk], pa.int32()), pa.array([packed.tobytes()], pa.binary()),
+                    ],
+                    names=["doc_id", "size", "key", "bits", "chunk", "counts"],
                 )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, size long, key long, chunk int, counts binary"
+        run, "doc_id long, size long, key long, bits binary, chunk int, counts binary"
     )
 
 
@@ -167,12 +189,16 @@ def needed(size_a, size_b):
 
 
 def signatures(docs: DataFrame, counters, n: int = WORDS, bits: int = SKETCH_BITS) -> DataFrame:
-    """(sig, pos, key, size): the prefix of each set, once per class and task."""
+    """(sig, pos, key, size, rare): the prefix of each set, once per class and task.
+
+    ``rare`` is the number of shingles in the prefix that few sets hold.
+    """
+    shift = np.uint64(64 - bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[int] = set()
         for _, texts in _batches(batches):
-            sigs, places, keys, sizes = [], [], [], []
+            sigs, places, keys, sizes, rare = [], [], [], [], []
             for text in texts:
                 values = shingles(text, n)
                 size = len(values)
@@ -183,17 +209,22 @@ def signatures(docs: DataFrame, counters, n: int = WORDS, bits: int = SKETCH_BIT
                     known.clear()
                 known.add(key)
                 prefix = size - (3 * size + 3) // 4 + 1
-                sigs.append(ordered(values, counters.value, bits)[:prefix].astype(np.int64))
+                leading = ordered(values, counters.value, bits)[:prefix]
+                few = int((counters.value[(leading >> shift).astype(np.int64)] <= HOT).sum())
+                sigs.append(leading.astype(np.int64))
+                rare.append(np.full(prefix, few, dtype=np.int32))
                 places.append(np.arange(prefix, dtype=np.int32))
                 keys.append(np.full(prefix, key, dtype=np.int64))
                 sizes.append(np.full(prefix, size, dtype=np.int32))
             if sigs:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in (sigs, places, keys, sizes)],
-                    names=["sig", "pos", "key", "size"],
+                    [pa.array(np.concatenate(c)) for c in (sigs, places, keys, sizes, rare)],
+                    names=["sig", "pos", "key", "size", "rare"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "sig long, pos int, key long, size int")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        run, "sig long, pos int, key long, size int, rare int"
+    )
 
 
 def possible(pos_a, size_a, pos_b, size_b):
@@ -206,10 +237,10 @@ def possible(pos_a, size_a, pos_b, size_b):
 def candidates(rows: DataFrame, hot: int = HOT) -> DataFrame:
     """Pairs (a, b) of keys, and the members (sig, pos, key, size) of buckets above ``hot``.
 
-    Rows come sorted by bucket, leading sets (with the smallest position) first; a task
-    holds one bucket's first rows only.
+    Rows come sorted by bucket, sets with the fewest rare shingles first: those lie amid
+    their near copies, and lead in every bucket that the same sets share, so that these
+    give the same pairs. A task holds one bucket's first rows only.
     """
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.empty(0, dtype=t) for t in (np.int64, np.int32, np.int64, np.int32)]
@@ -287,8 +318,7 @@ def candidates(rows: DataFrame, hot: int = HOT) -> DataFrame:
             yield from cut(False)
         yield from cut(True)
 
-    dealt = rows.repartition("sig").sortWithinPartitions("sig", "pos", "key")
-    assert len(kinds) == 5
+    dealt = rows.repartition("sig").sortWithinPartitions("sig", "rare", "key")
     return dealt.select("sig", "pos", "key", "size").mapInArrow(run, "a long, b long, sig long, pos int, size int")
 
 
@@ -382,8 +412,12 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def crossing(members: DataFrame, labels: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Candidate pairs (a, b) of hot buckets whose sets are in different components."""
-    known = members.join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    """Candidate pairs (a, b) of hot buckets whose sets are in different components.
+
+    Buckets hold common passages, which unlike sets share as well: a pair is given only if
+    the bitmaps of ``labels`` (key, component, bits) leave the needed overlap possible.
+    """
+    known = members.join(labels, "key")
     apart = (
         known.groupBy("sig")
         .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("_n"))
@@ -393,20 +427,22 @@ def crossing(members: DataFrame, labels: DataFrame, block: int = BLOCK) -> DataF
     dealt = known.join(apart, "sig").withColumn("_own", F.pmod(F.xxhash64("key"), F.col("_blocks")).cast("int"))
     every = F.sequence(F.lit(0), F.col("_blocks") - 1)
     spread = dealt.withColumn("_other", F.explode(every)).select(
-        "sig", "key", "pos", "size", "component", "_own",
+        "sig", "key", "pos", "size", "component", "bits", "_own",
         F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"),
     )
 
     def run(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         a, b = [], []
         pos, size, key, label = (rows[c].to_numpy() for c in ("pos", "size", "key", "component"))
+        bits = np.frombuffer(b"".join(rows["bits"]), dtype=np.uint64).reshape(len(rows), -1)
         second = rows["_own"].to_numpy() == group[2]
         same = group[1] == group[2]
         for k in range(len(rows)):
             if second[k] and not same:
                 continue
             ok = (label != label[k]) & possible(pos, size, pos[k], size[k])
-            ok &= (key > key[k]) if same else second
+            ok = np.flatnonzero(ok & ((key > key[k]) if same else second))
+            ok = ok[bitmap_overlap(size[k], bits[k], size[ok], bits[ok]) >= needed(size[ok], size[k])]
             a.append(np.minimum(key[ok], key[k]))
             b.append(np.maximum(key[ok], key[k]))
         none = np.empty(0, dtype=np.int64)
@@ -421,7 +457,9 @@ def linked(docs: DataFrame, n: int = WORDS, bits: int = SKETCH_BITS, hot: int =
     described = stored(describe(docs, n, bits), "sets")
     owned = described.filter("chunk is null")
     counters = spark.sparkContext.broadcast(sketch(described, bits))
-    classes = owned.filter("size > 0").groupBy("key", "size").agg(F.min("doc_id").alias("rep"))
+    classes = owned.filter("size > 0").groupBy("key", "size").agg(
+        F.min("doc_id").alias("rep"), F.min("bits").alias("bits")
+    )
 
     found = stored(candidates(signatures(docs, counters, n, bits), hot), "candidates")
     pairs = found.filter("sig is null").select("a", "b").distinct()
@@ -437,9 +475,9 @@ def linked(docs: DataFrame, n: int = WORDS, bits: int = SKETCH_BITS, hot: int =
     links = links_of(pairs)
     labels = components(links)
     if members.limit(1).count():
-        by_key = classes.select("key", "rep").join(
+        by_key = classes.select("key", "rep", "bits").join(
             labels.withColumnRenamed("node", "rep"), "rep", "left"
-        ).select("key", F.coalesce("component", "rep").alias("component"))
+        ).select("key", F.coalesce("component", "rep").alias("component"), "bits")
         more = links_of(crossing(members, by_key, block))
         if more.limit(1).count():
             labels = components(links.unionByName(more))
