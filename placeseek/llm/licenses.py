@@ -104,14 +104,15 @@ def rules() -> list[tuple[str, str, list[str]]]:
 
 def sentences(text: Column, wrapped: bool) -> Column:
     """Normalised sentences; ``wrapped`` joins lines, otherwise lines end sentences."""
-    border = r"(?<=[.!?;:])\s+" if wrapped else r"(?<=[.!?;:])\s+|\s*\n\s*"
+    # A colon ends a sentence only at the end of a line: identifiers follow one on their line.
+    border = r"(?<=[.!?;])\s+|(?<=:)\s*\n\s*" if wrapped else r"(?<=[.!?;])\s+|\s*\n\s*"
 
     def normal(s: Column) -> Column:
         s = F.regexp_replace(F.lower(s), "licence", "license")
         s = F.trim(F.regexp_replace(s, r"[^a-z0-9.+\-]+", " "))
         s = F.trim(F.regexp_replace(s, r"(?<![^ ])[.+\-]+|[.+\-]+(?![^ ])|v\.(?= )", ""))
-        s = F.regexp_replace(s, SUBJECT, "")
-        return F.regexp_replace(s, VERB, "licensed under ")
+        # The subject goes only with its verb: other known sentences begin with one, too.
+        return F.regexp_replace(s, f"{SUBJECT}?{VERB[1:]}", "licensed under ")
 
     return F.transform(F.split(text, border), normal)
 
