@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 
 K = 20
 GROUP_ROWS = 8_192
-QUERY_BLOCK = 512
+QUERY_BLOCK = 16_384
+# Queries whose bounds are held at once.
+QUERY_STEP = 512
 SEED = 7
 # Errors beyond this many standard deviations of the estimate are not expected.
 BOUND = 3.0
@@ -38,32 +40,43 @@ def rotation(dim: int, seed: int = SEED) -> np.ndarray:
     return (q * np.sign(np.diag(r))).astype(np.float32)
 
 
+def units(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(unit vector, length) of each row; squares of very large or small components stay in range."""
+    most = np.abs(vectors).max(axis=1, keepdims=True)
+    # Twice, as the inverse of the smallest numbers is out of range.
+    scaled = vectors / most
+    inner = np.sqrt((scaled**2).sum(axis=1, keepdims=True))
+    with np.errstate(over="ignore"):
+        return scaled / inner, (inner * most)[:, 0]
+
+
 def encode(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(packed bits, length, inner product of unit vector and code) of each row."""
-    length = np.linalg.norm(vectors, axis=1)
-    turned = (vectors / length[:, None]).astype(np.float32) @ turn
+    unit, length = units(vectors)
+    turned = unit.astype(np.float32) @ turn
     fit = np.abs(turned).sum(axis=1) / np.sqrt(np.float32(vectors.shape[1]))
     return np.packbits(turned >= 0, axis=1), length, fit.astype(np.float64)
 
 
 def estimates(bits: np.ndarray, length: np.ndarray, fit: np.ndarray, queries: np.ndarray, turn: np.ndarray):
-    """(estimate, error bound) of the inner product, queries x rows."""
+    """(estimate, error bound) of the inner product with unit queries, queries x rows.
+
+    Products of unit vectors and codes are in single precision; lengths come in as doubles.
+    """
     dim = queries.shape[1]
     signs = np.unpackbits(bits, axis=1, count=dim).astype(np.float32) * 2 - 1
-    size = np.linalg.norm(queries, axis=1)
-    turned = (queries / size[:, None]).astype(np.float32) @ turn
-    rough = (turned @ signs.T) / np.float32(np.sqrt(dim))
-    scale = (length / fit).astype(np.float32)
-    spread = length * np.sqrt(np.maximum(0.0, 1 - fit**2)) / fit * BOUND / np.sqrt(max(1, dim - 1))
-    size = size.astype(np.float32)[:, None]
+    turned = units(queries)[0].astype(np.float32) @ turn
+    rough = (turned @ signs.T).astype(np.float64) / np.sqrt(dim)
+    spread = np.sqrt(np.maximum(0.0, 1 - fit**2)) / fit * BOUND / np.sqrt(max(1, dim - 1))
     # Rounding in single precision counts as error, too.
-    return rough * scale * size, (spread + 1e-5 * length).astype(np.float32) * size
+    return rough * (length / fit), np.broadcast_to((spread + 1e-5) * length, rough.shape)
 
 
 def nearest_in_group(ids, vectors, bits, length, fit, query_ids, queries, k: int, step: int = 1024):
     """(query position, row position, score) of the k best rows of each query."""
     turn = rotation(vectors.shape[1])
-    floor = np.full(len(queries), -np.inf, dtype=np.float32)
+    size = units(queries)[1]
+    floor = np.full(len(queries), -np.inf)
     kept: list[list[np.ndarray]] = [[] for _ in queries]
     scores: list[list[np.ndarray]] = [[] for _ in queries]
     for begin in range(0, len(ids), step):
@@ -73,7 +86,8 @@ def nearest_in_group(ids, vectors, bits, length, fit, query_ids, queries, k: int
         low = np.where(own, -np.inf, rough - error)
         if low.shape[1] > k:
             floor = np.maximum(floor, np.partition(low, -k, axis=1)[:, -k])
-        worth = (rough + error >= floor[:, None]) & ~own
+        # What cannot be compared is looked at.
+        worth = ~(rough + error < floor[:, None]) & ~own
         for q in np.flatnonzero(worth.any(axis=1)).tolist():
             at = np.flatnonzero(worth[q]) + begin
             # Row by row, so that equal vectors get equal sums.
@@ -85,7 +99,9 @@ def nearest_in_group(ids, vectors, bits, length, fit, query_ids, queries, k: int
                 best = np.lexsort((ids[np.concatenate(kept[q])], -known))[:k]
                 rows = np.concatenate(kept[q])[best]
                 kept[q], scores[q] = [rows], [known[best]]
-                floor[q] = max(floor[q], np.nextafter(np.float32(known[best[-1]]), np.float32(-np.inf)))
+                # The k-th score in units of the query's length, and a little less for rounding.
+                least = known[best[-1]] / size[q]
+                floor[q] = np.fmax(floor[q], least - 1e-9 * abs(least))
     for q in range(len(queries)):
         if kept[q]:
             rows, known = np.concatenate(kept[q]), np.concatenate(scores[q])
@@ -126,10 +142,12 @@ def _searching(k: int):
             ids, vectors = left["vec_id"].to_numpy(), np.stack(left["vector"].to_numpy())
             bits = np.frombuffer(b"".join(left["bits"]), dtype=np.uint8).reshape(len(left), -1)
             query_ids, queries = right["vec_id"].to_numpy(), np.stack(right["vector"].to_numpy())
-            found = nearest_in_group(
-                ids, vectors, bits, left["length"].to_numpy(), left["fit"].to_numpy(), query_ids, queries, k
-            )
-            out = [(query_ids[q], ids[r], s) for q, r, s in found]
+            for at in range(0, len(query_ids), QUERY_STEP):
+                part = slice(at, at + QUERY_STEP)
+                found = nearest_in_group(
+                    ids, vectors, bits, left["length"].to_numpy(), left["fit"].to_numpy(), query_ids[part], queries[part], k
+                )
+                out += [(query_ids[at + q], ids[r], s) for q, r, s in found]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype(
             {"query_id": "int64", "vec_id": "int64", "score": "float64"}
         )

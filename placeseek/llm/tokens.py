@@ -3,11 +3,13 @@
 A byte-level BPE never merges across the borders that its splitting pattern draws, and a
 single blank between two non-blanks is always such a border. Texts are therefore cut at
 blanks and line ends, and each distinct piece is encoded once per worker. Texts with other
-white space (runs, tabs, leading or trailing blanks) are encoded whole by the tokenizer.
+white space (runs, tabs, leading or trailing blanks) or with the string of a marker token are
+encoded whole by the tokenizer.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import numpy as np
@@ -29,7 +31,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        markers = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.marker = re.compile("|".join(map(re.escape, markers))) if markers else None
         self.entries = cache_entries
         self.led: dict[str, bytes | None] = {}  # pieces behind a blank
         self.bare: dict[str, bytes | None] = {}  # pieces at the start of a line
@@ -79,10 +82,13 @@ class Encoder:
         if len(self.led) + len(self.bare) > self.entries:
             self.led.clear()
             self.bare.clear()
-        cut: list[list[list[str]]] = []
+        cut: list[list[list[str]] | None] = []
         led: set[str] = set()
         bare: set[str] = set()
         for text in texts:
+            if text and self.marker and self.marker.search(text):
+                cut.append(None)
+                continue
             lines = [line.split(" ") for line in text.split("\n")] if text else []
             for line in lines:
                 bare.add(line[0])
@@ -93,6 +99,9 @@ class Encoder:
         first, rest = self.bare, self.led.__getitem__
         out: list[bytes] = []
         for text, lines in zip(texts, cut, strict=True):
+            if lines is None:
+                out.append(self.whole(text))
+                continue
             try:
                 out.append(self.newline.join([first[line[0]] + b"".join(map(rest, line[1:])) for line in lines]))
             except TypeError:

@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -27,6 +28,7 @@ from placeseek.llm import (
     toxicity,
 )
 from placeseek.llm.registry import table
+from placeseek.session import stored
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -59,7 +61,6 @@ def texts(spark):
 @pytest.fixture(scope="module")
 def ids_of():
     tokenizer = Tokenizer.from_file(tokens.default_path())
-    tokenizer.encode_special_tokens = True
     return lambda text: np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [2], dtype="<u4")
 
 
@@ -466,3 +467,52 @@ def test_pipeline_stages(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
     assert packed.select("doc_id").distinct().count() == docs.count()
     assert packed.agg(F.max(F.col("offset") + F.col("length"))).first()[0] <= 1024
+
+
+# -- contracts of op5, op8 and op9 -----------------------------------------------------------
+
+
+def test_text_around_adverts_of_any_length(spark):
+    words = " ".join(f"advert{i}" for i in range(400))
+    page = f"<body><article><p>Before it.</p><div class='ad'><p>{words}</p></div><aside>{words}</aside><p>After.</p>"
+    page += "<figure><img><img></figure>" * 50 + "<p>Last one.</p></article><footer>Foot</footer></body>"
+    plain = "<body><nav><a href='/'>Home</a></nav><h1>Head</h1><p>One two three.</p><p>Four five six.</p><footer>Foot</footer></body>"
+    broken = "<article><p>Fine text here</p><p title=it's>and more don't stop</p><a href='never closed>tail</p></article>"
+    rows = [(1, "u", page), (2, "u", plain), (3, "u", broken), (4, "u", "<article>a < b &amp; c<!-- no --> end <b")]
+    pages = spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, html string, text string, n_chars int")
+    got = {r.page_id: r.text for r in html_main.extracted(pages).collect()}
+    assert got == {
+        1: "Before it. After. Last one.", 2: "Head One two three. Four five six.",
+        3: "Fine text here and more don't stop tail", 4: "a < b & c end",
+    }
+    assert html_main.extracted(pages.limit(0)).count() == 0
+
+
+def test_broken_markup_is_read_in_linear_time():
+    weights = {k: html_main.prior(k) for k in ("top", "aside", "text", "link", "content text", "content link")}
+    begun = time.monotonic()
+    for page in ('<a title="' + '"x' * 10_000, "<a " * 300_000, '<a ="' * 200_000 + '">x', "<!-- " * 200_000, "<a =" * 200_000 + ">"):
+        html_main.main_text(page, weights)
+    assert time.monotonic() - begun < 5
+
+
+def test_search_among_vectors_of_any_length(spark):
+    rng = np.random.default_rng(2)
+    rows = [(k, (rng.normal(size=16) * s).tolist()) for k, s in enumerate([1e30] * 40 + [1e-200] * 40 + [1.0] * 40 + [1e150] * 20)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    indexed = stored(one_bit_search.index(frame), "codes")
+    got = [tuple(r) for r in one_bit_search.nearest(indexed, indexed.filter("vec_id % 20 = 0")).collect()]
+    want = []
+    for q, x in rows[::20]:
+        scores = [(-float((np.array(v) * np.array(x)).sum()), i) for i, v in rows if i != q]
+        want += [(q, r, i, -s) for r, (s, i) in enumerate(sorted(scores)[:20], 1)]
+    found = {(q, i) for q, _, i, _ in got}
+    assert len(got) == len(want) and len(found & {(q, i) for q, _, i, _ in want}) >= 0.97 * len(want)
+
+
+def test_marker_strings_are_markers_as_in_the_plain_call(spark):
+
+    library = Tokenizer.from_file(tokens.default_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x <|endoftext|", "plain words here"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in tokens.encoder(tokens.default_path()).encode(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
