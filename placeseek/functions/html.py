@@ -51,14 +51,24 @@ def strip_tags(markup: Column) -> Column:
     return F.regexp_replace(markup, TAG, "")
 
 
-def title_raw(markup: Column) -> Column:
-    """Inner text of the first title with references left as written; null if absent."""
+def _title(markup: Column) -> Column:
     return F.when(markup.rlike(TITLE), F.regexp_extract(markup, TITLE, 1))
 
 
+def title_raw(markup: Column) -> Column:
+    """Markup inside the first title as a parser writes it back; null if absent.
+
+    Character references are decoded, and then only ``&``, ``<`` and ``>`` are escaped.
+    """
+    out = decode(_title(markup))
+    for char, reference in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        out = F.replace(out, F.lit(char), F.lit(reference))
+    return out
+
+
 def title_text(markup: Column) -> Column:
     """Title as readable text; null if absent."""
-    return F.trim(decode(strip_tags(title_raw(markup))))
+    return tx.strip(decode(strip_tags(_title(markup))))
 
 
 def paragraph_markup(markup: Column) -> Column:
@@ -77,7 +87,7 @@ def paragraph_markup(markup: Column) -> Column:
 
 def trimmed_paragraphs(text: Column) -> Column:
     between = F.regexp_replace(text, rf"[{tx.SPACE_SET}]*\x01[{tx.SPACE_SET}]*", BREAK)
-    return F.regexp_replace(between, f"^{tx.SPACES}|{tx.SPACES}$", "")
+    return tx.strip(between)
 
 
 def longer_paragraphs(paragraphs: Column, than: int = 30) -> Column:
@@ -114,7 +124,7 @@ def description_older(markup: Column) -> Column:
     og = _meta(markup, "property", "og:description")
     plain = _meta(markup, "name", "description")
     tag = F.when(og != "", og).when(plain != "", plain)
-    return F.when(tag.isNotNull(), F.trim(_attribute(tag, "content")))
+    return F.when(tag.isNotNull(), tx.strip(_attribute(tag, "content")))
 
 
 def author(markup: Column) -> Column:
@@ -137,7 +147,7 @@ def author_older(markup: Column) -> Column:
     first = _meta(markup, "property", "author")
     second = _meta(markup, "name", "author")
     tag = F.when(first != "", first).when(second != "", second)
-    return F.when(tag.isNotNull(), F.trim(_attribute(tag, "content")))
+    return F.when(tag.isNotNull(), tx.strip(_attribute(tag, "content")))
 
 
 def _element(markup: Column, name: str, attribute: str, value: str) -> Column:
@@ -147,7 +157,7 @@ def _element(markup: Column, name: str, attribute: str, value: str) -> Column:
         rf"""'(?:[^']*\s)?{value}(?:\s[^']*)?'|{value}(?=[\s>]))[^>]*>(.*?)</{name}>"""
     )
     return F.when(
-        markup.rlike(pattern), F.trim(decode(strip_tags(F.regexp_extract(markup, pattern, 1))))
+        markup.rlike(pattern), tx.strip(decode(strip_tags(F.regexp_extract(markup, pattern, 1))))
     )
 
 

@@ -34,6 +34,55 @@ def dense(slots: pd.Series, amounts: pd.Series, dim: pd.Series) -> pd.Series:
     )
 
 
+def fold(texts: pd.Series) -> pd.Series:
+    """Without accents: marks of the decomposed form are dropped."""
+
+    def plain(text: str) -> str:
+        return "".join(c for c in unicodedata.normalize("NFD", text) if not unicodedata.combining(c))
+
+    return texts.map(lambda t: None if t is None else plain(t))
+
+
+def marginal(k: int, share: float):
+    """Task function: k hits of one query, each the most relevant of those least like the ones before."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("id").reset_index(drop=True)
+        most = rows["value"].max()
+        worth = rows["value"].to_numpy() / most if most > 0 else np.zeros(len(rows))
+        vectors = np.stack([np.asarray(v, dtype=np.float64) for v in rows["embedding"]])
+        vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+        like = np.round(vectors @ vectors.T, DISTANCE_DIGITS)
+        place = rows["place"].to_numpy()
+        like[(place[:, None] == place[None, :]) & pd.notna(place)[:, None]] = 1.0
+        nearest, chosen = np.zeros(len(rows)), []
+        while len(chosen) < min(k, len(rows)):
+            gain = np.round(share * worth - (1 - share) * nearest, DISTANCE_DIGITS)
+            gain[chosen] = -np.inf
+            chosen.append(int(gain.argmax()))
+            nearest = like[:, chosen].max(axis=1)
+        return pd.DataFrame(
+            {"query_id": rows["query_id"].iloc[0], "rank": np.arange(1, len(chosen) + 1), "id": rows["id"].to_numpy()[chosen]}
+        )
+
+    return run
+
+
+def guarded(function):
+    """Texts of ``function``, null where it fails."""
+
+    def run(texts: pd.Series) -> pd.Series:
+        def one(text):
+            try:
+                return None if text is None else function(text)
+            except Exception:  # noqa: BLE001 - a user's model may fail in any way
+                return None
+
+        return texts.map(one)
+
+    return run
+
+
 def keep_best(columns: np.ndarray, distances: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k smallest (distance, id) pairs of each column."""
     order = np.lexsort((ids, distances, columns))
@@ -43,37 +92,236 @@ def keep_best(columns: np.ndarray, distances: np.ndarray, ids: np.ndarray, k: in
     return order[place < k]
 
 
-def nearest_in_batches(query_ids: np.ndarray, matrix: np.ndarray, k: int):
-    """Task function: the k nearest stored vectors among its own rows, per query."""
-    squared = (matrix**2).sum(axis=1)
+def vectors_of(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64)
+
+
+def squared_gaps(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Squared distances, rows x queries, rounded so that equal vectors tie."""
+    gaps = (rows**2).sum(axis=1)[:, None] + (queries**2).sum(axis=1)[None, :] - 2.0 * rows @ queries.T
+    return np.round(np.maximum(gaps, 0.0), DISTANCE_DIGITS)
+
+
+class Best:
+    """The k nearest rows seen so far, per query number."""
+
+    def __init__(self, k: int):
+        self.k = k
+        self.columns, self.distances, self.ids = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
+
+    def add(self, gaps: np.ndarray, ids: np.ndarray, numbers: np.ndarray) -> None:
+        if len(gaps) > self.k:
+            bound = np.partition(gaps, self.k - 1, axis=0)[self.k - 1]
+            row, column = np.nonzero(gaps <= bound[None, :])
+        else:
+            row, column = np.nonzero(np.ones_like(gaps, dtype=bool))
+        columns = np.r_[self.columns, numbers[column]]
+        distances, ids = np.r_[self.distances, gaps[row, column]], np.r_[self.ids, ids[row]]
+        best = keep_best(columns, distances, ids, self.k)
+        self.columns, self.distances, self.ids = columns[best], distances[best], ids[best]
+
+    def rows(self, query_ids: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(query_ids[self.columns]), pa.array(self.ids), pa.array(self.distances)],
+            names=["query_id", "id", "distance"],
+        )
+
+
+def nearest_in_batches(blocks: list, k: int):
+    """Task function: the k nearest of a task's own rows for the queries of all blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = [Best(k) for _ in blocks]
+        for batch in batches:
+            if batch.num_rows:
+                ids, rows = batch.column(0).to_numpy(zero_copy_only=False), vectors_of(batch.column(1))
+                for held, block in zip(best, blocks, strict=True):
+                    held.add(squared_gaps(rows, block.value[1]), ids, np.arange(len(block.value[0])))
+        for held, block in zip(best, blocks, strict=True):
+            yield held.rows(block.value[0])
+
+    return run
+
+
+def distances(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Distances from differences, which keep their digits when vectors are near."""
+    out = np.empty((len(rows), len(others)))
+    for k, other in enumerate(others):
+        out[:, k] = np.sqrt(((rows - other) ** 2).sum(axis=1))
+    return out
+
+
+def nearest_pivot(pivots: np.ndarray):
+    """Task function: adds the nearest pivot, the distance to it and the squared length."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                rows = vectors_of(batch.column(1))
+                gaps = distances(rows, pivots)
+                pivot = gaps.argmin(axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0), pa.array(list(rows), pa.list_(pa.float64())), pa.array(pivot.astype(np.int32)),
+                        pa.array(gaps[np.arange(len(rows)), pivot]), pa.array((rows**2).sum(axis=1)),
+                    ],
+                    names=["id", "embedding", "pivot", "gap", "reach"],
+                )
+
+    return run
+
+
+def least_squares(to_pivots: np.ndarray, queries: np.ndarray, units: pd.DataFrame) -> np.ndarray:
+    """Least squared distance from each query to a member of each unit, queries x units.
+
+    By the triangle inequality a member lies at least as far as the query's distance to the pivot
+    differs from those of the unit. Rounding of the compared distances is taken off.
+    """
+    pivot, low, high, reach = (units[c].to_numpy() for c in ("pivot", "low", "high", "reach"))
+    to_unit = to_pivots[:, pivot]
+    least = np.maximum(0.0, np.maximum(to_unit - high, low - to_unit)) * (1 - 1e-9)
+    rough = 10.0**-DISTANCE_DIGITS + 1e-12 * ((queries**2).sum(axis=1)[:, None] + reach[None, :])
+    return least**2 - rough
+
+
+def _few(queries: np.ndarray, step: int = 64):
+    for at in range(0, len(queries), step):
+        yield slice(at, at + step)
+
+
+def first_units(known, k: int):
+    """Task function: per query the units of least bound that hold k vectors together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivots, units = known.value
+        number, size, middle = units["unit"].to_numpy(), units["n"].to_numpy(), (units["low"] + units["high"]).to_numpy() / 2
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, queries = batch.column(0).to_numpy(zero_copy_only=False), vectors_of(batch.column(1))
+            for part in _few(queries):
+                to_pivots = distances(queries[part], pivots)
+                bounds = least_squares(to_pivots, queries[part], units)
+                # Of units around the query, the one whose ring is next to it.
+                ring = np.abs(to_pivots[:, units["pivot"].to_numpy()] - middle)
+                own, chosen = [], []
+                for q, (bound, near, far) in enumerate(zip(bounds, ring, to_pivots[:, units["pivot"].to_numpy()], strict=True)):
+                    order = np.lexsort((near, far, np.maximum(bound, 0)))
+                    upto = int(np.searchsorted(np.cumsum(size[order]), k)) + 1
+                    chosen.append(number[order[:upto]])
+                    own.append(np.full(len(chosen[-1]), ids[part][q]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(own)), pa.array(np.concatenate(chosen))], names=["query_id", "unit"]
+                )
+
+    return run
+
+
+def seen_units(known):
+    """Task function: (units within the floor, all units) of the queries, added up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = np.empty(0, dtype=np.int64)
-        distances = np.empty(0)
-        ids = np.empty(0, dtype=np.int64)
+        pivots, units = known.value
+        seen = total = 0
         for batch in batches:
-            if batch.num_rows == 0:
+            if batch.num_rows:
+                queries, floor = vectors_of(batch.column(1)), batch.column(2).to_numpy(zero_copy_only=False)
+                for part in _few(queries):
+                    within = least_squares(distances(queries[part], pivots), queries[part], units) <= floor[part, None]
+                    seen, total = seen + int(within.sum()), total + within.size
+        yield pa.RecordBatch.from_pydict({"seen": [seen], "units": [total]})
+
+    return run
+
+
+def units_within(block: tuple, pivots: np.ndarray, units: pd.DataFrame) -> list[int]:
+    """Numbers of the units that some query of a block has still to look at."""
+    _, queries, _, floor = block
+    wanted = np.zeros(len(units), dtype=bool)
+    for part in _few(queries):
+        within = least_squares(distances(queries[part], pivots), queries[part], units) <= floor[part, None]
+        wanted |= within.any(axis=0)
+    return units["unit"].to_numpy()[wanted].tolist()
+
+
+def nearest_in_units(blocks: list, known, k: int, first: bool):
+    """Task function: the k nearest rows in the first units of each query, or in the others within its floor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivots, units = known.value
+        meta = units.set_index("unit")
+        held = []
+        for block in blocks:
+            ids, queries, looks, floor = block.value
+            place = pd.Series(np.arange(len(ids)), index=ids)
+            number = place.loc[looks["query_id"].to_numpy()].to_numpy()
+            by_unit = {u: number[rows] for u, rows in looks.groupby("unit").indices.items()}
+            held.append((ids, queries, by_unit, floor, distances(queries, pivots), Best(k)))
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            stored_ids = batch.column(0).to_numpy(zero_copy_only=False)
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-            stored = flat.reshape(batch.num_rows, -1).astype(np.float64)
-            gaps = (stored**2).sum(axis=1)[:, None] + squared[None, :] - 2.0 * stored @ matrix.T
-            gaps = np.round(np.maximum(gaps, 0.0), DISTANCE_DIGITS)
-            if len(gaps) > k:
-                bound = np.partition(gaps, k - 1, axis=0)[k - 1]
-                row, column = np.nonzero(gaps <= bound[None, :])
-            else:
-                row, column = np.nonzero(np.ones_like(gaps, dtype=bool))
-            columns = np.r_[columns, column]
-            distances = np.r_[distances, gaps[row, column]]
-            ids = np.r_[ids, stored_ids[row]]
-            best = keep_best(columns, distances, ids, k)
-            columns, distances, ids = columns[best], distances[best], ids[best]
-        if len(ids):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(query_ids[columns]), pa.array(ids), pa.array(distances)],
-                names=["query_id", "id", "distance"],
-            )
+            unit_of, row_ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            rows = vectors_of(batch.column(2))
+            for unit in np.unique(unit_of).tolist():
+                mine = np.flatnonzero(unit_of == unit)
+                for _, queries, by_unit, floor, to_pivots, best in held:
+                    looked = by_unit.get(unit, np.empty(0, dtype=np.int64))
+                    if first:
+                        wanted = looked
+                    else:
+                        within = least_squares(to_pivots, queries, meta.loc[[unit]])[:, 0] <= floor
+                        within[looked] = False
+                        wanted = np.flatnonzero(within)
+                    if len(wanted):
+                        gaps = squared_gaps(rows[mine], queries[wanted])
+                        best.add(gaps, row_ids[mine], wanted)
+        for ids, *_, best in held:
+            yield best.rows(ids)
+
+    return run
+
+
+def best_of_range(k: int, avgdl: float, k1: float, b: float, digits: int):
+    """Task function: the k best documents of a range for each of its queries.
+
+    ``left`` holds the blocks of the range and one row without a term for its documents; ``right``
+    a row per query with its words, their weights and the score that a hit must reach.
+    """
+    none = pd.DataFrame({"query_id": np.empty(0, "i8"), "doc_id": np.empty(0, "i8"), "score": np.empty(0)})
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        plain = left["term"].isna().to_numpy()
+        if not plain.any() or not len(right):
+            return none
+        home = left[plain].iloc[0]
+        ids = np.asarray(home["doc_ids"], dtype=np.int64)
+        lengths = np.asarray(home["dls"], dtype=np.float64)
+        damp = k1 * (1 - b + b * (lengths / avgdl if avgdl > 0 else 0.0 * lengths))
+        free = np.ones(len(ids), dtype=bool)
+        if home["bits"] is not None:
+            free = np.unpackbits(np.frombuffer(home["bits"], dtype=np.uint8), bitorder="little")[: len(ids)] == 1
+        blocks: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        for term, classes in zip(left["term"][~plain], left["classes"][~plain], strict=True):
+            places = np.concatenate([c["places"] for c in classes])
+            tf = np.repeat([float(c["tf"]) for c in classes], [len(c["places"]) for c in classes])
+            blocks[term] = places, tf * (k1 + 1) / (tf + damp[places])
+        out = []
+        for query, floor, terms, weights in zip(
+            right["query_id"], right["floor"], right["terms"], right["weights"], strict=True
+        ):
+            total = np.zeros(len(ids))
+            for term, weight in zip(terms, weights, strict=True) if terms is not None else ():
+                if term in blocks:
+                    places, amount = blocks[term]
+                    total[places] += weight * amount
+            total = np.round(total, digits) + 0.0
+            at = np.flatnonzero(free if floor is None or np.isnan(floor) else free & (total >= floor))
+            if len(at) > k:
+                least = np.partition(total[at], -k)[-k]
+                at = at[total[at] >= least]
+            at = at[np.lexsort((ids[at], -total[at]))[:k]]
+            out.append(pd.DataFrame({"query_id": query, "doc_id": ids[at], "score": total[at]}))
+        return pd.concat(out) if out else none
 
     return run
 

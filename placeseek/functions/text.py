@@ -58,6 +58,19 @@ def nfkc(text: Column) -> Column:
     return F.coalesce(_nfkc_batch(F.when(_unstable(text), text)), text)
 
 
+def strip(text: Column) -> Column:
+    """Without white space of any kind at the ends.
+
+    A run inside the text is tried once, at its begin, so long runs cost no more than short ones.
+    """
+    return F.regexp_replace(text, rf"\A[{SPACE_SET}]++|(?<![{SPACE_SET}])[{SPACE_SET}]++\z", "")
+
+
+def is_blank(text: Column) -> Column:
+    """True for null, empty and white space only."""
+    return F.coalesce(~text.rlike(f"[^{SPACE_SET}]"), F.lit(True))
+
+
 def squeeze(text: Column) -> Column:
     """Runs of white space become one space; none at the ends."""
     return F.trim(F.regexp_replace(text, UNEVEN_SPACES, " "))
@@ -166,4 +179,4 @@ def snippet(content: Column, size: int = 300) -> Column:
 
 def compose_query(first: Column, second: Column, third: Column) -> Column:
     """Three form fields as one query text."""
-    return F.trim(F.concat(first, F.lit(". "), second, F.lit(". "), third))
+    return strip(F.concat(first, F.lit(". "), second, F.lit(". "), third))

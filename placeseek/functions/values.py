@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from placeseek.functions import text as tx
+
 # Bounding boxes (south, north, west, east), tried in this order.
 CONTINENTS = (
     ("Africa", -34, 37, -18, 51),
@@ -35,7 +37,7 @@ def continent(lat: Column, lon: Column) -> Column:
 def country(location: Column) -> Column:
     """What follows the last comma; empty without a comma."""
     parts = F.split(location, ",")
-    return F.when(F.size(parts) > 1, F.trim(F.element_at(parts, -1))).otherwise("")
+    return F.when(F.size(parts) > 1, tx.strip(F.element_at(parts, -1))).otherwise("")
 
 
 def count_class(count: Column) -> Column:

@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placeseek.functions import text as tx
+from placeseek.session import stored
 from placeseek.sizing import fits, join_checked
 
 # A word, or one punctuation mark: marks separate words that would otherwise touch.
 WORD_OR_MARK = rf"{tx.WORD}|[^\p{{L}}\p{{N}}_{tx.SPACE_SET}]"
-LONGEST_NAME = 4
 
 
 def name_key(name: Column) -> Column:
@@ -18,8 +18,11 @@ def name_key(name: Column) -> Column:
     return F.array_join(F.regexp_extract_all(F.lower(name), F.lit(WORD_OR_MARK), F.lit(0)), " ")
 
 
-def _spans(posts: DataFrame, keys: list[str], longest: int) -> DataFrame:
-    """Every run of one to ``longest`` words of title (source 0) and description (1)."""
+def _starts(posts: DataFrame, keys: list[str], longest: int) -> DataFrame:
+    """Every place in title (source 0) and description (1), with the words from there on.
+
+    No name goes further than the ``longest``, so no more words are carried.
+    """
     both = F.array(
         F.struct(F.lit(0).alias("source"), F.col("page_title").alias("t")),
         F.struct(F.lit(1).alias("source"), F.col("page_description").alias("t")),
@@ -31,38 +34,55 @@ def _spans(posts: DataFrame, keys: list[str], longest: int) -> DataFrame:
 
     split = texts.select(*keys, "source", words(F.lower("t")).alias("_w"), words(F.col("t")).alias("_o"))
     # The outer form keeps the optimizer from splitting every text twice to find empty ones.
-    at = split.select(*keys, "source", "_w", "_o", F.posexplode_outer("_w").alias("start", "_first"))
-    sizes = F.sequence(F.lit(1), F.least(F.lit(longest), F.size("_w") - F.col("start")))
-    sized = at.select(*keys, "source", "_w", "_o", "start", F.explode(sizes).alias("len"))
-    return sized.select(
-        *keys,
-        "source",
-        "start",
-        "len",
-        F.array_join(F.slice("_w", F.col("start") + 1, F.col("len")), " ").alias("key"),
-        F.array_join(F.slice("_o", F.col("start") + 1, F.col("len")), " ").alias("name"),
+    at = split.select(*keys, "source", "_w", "_o", F.posexplode_outer("_w").alias("start", "_k1"))
+
+    def rest(pieces: str) -> Column:
+        return F.slice(pieces, F.col("start") + 1, longest)
+
+    return at.filter(F.col("_k1").isNotNull()).select(
+        *keys, "source", "start", "_k1", rest("_w").alias("_w"), rest("_o").alias("_o")
     )
 
 
-def place_names(
-    posts: DataFrame, gazetteer: DataFrame, keys: list[str], longest: int = LONGEST_NAME
-) -> DataFrame:
+def name_trie(gazetteer: DataFrame) -> DataFrame:
+    """(prefix, ends): every run of words that begins a name, and whether it is one itself."""
+    words = gazetteer.select(F.split(name_key(F.col("name")), " ").alias("_w")).filter(F.get("_w", F.lit(0)) != "").distinct()
+    sizes = words.select("_w", F.explode(F.sequence(F.lit(1), F.size("_w"))).alias("_n"))
+    prefix = F.array_join(F.slice("_w", 1, F.col("_n")), " ")
+    return sizes.groupBy(prefix.alias("prefix")).agg(F.max(F.col("_n") == F.size("_w")).alias("ends"))
+
+
+def place_names(posts: DataFrame, gazetteer: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, location_name): the first known place of the title, else of the description.
 
     The earliest match wins and the longest at that position. If it is a single word
     and another known name follows with nothing between, both are given, with a comma.
-    Texts without any match yield no row.
+    Texts without any match yield no row. Names may have any number of words.
+
+    The names form a trie of words. A place in a text enters it by its first word and goes on
+    word by word while a name goes on, so most places are left after one look-up. The trie is sent
+    to every task when it is small, and is otherwise shuffled by prefix.
     """
-    names = gazetteer.select(name_key(F.col("name")).alias("key")).distinct()
-    spans = _spans(posts, keys, longest)
-    matches = join_checked(spans, names, "key", spread=keys, small_fits=fits(names))
+    trie = stored(name_trie(gazetteer), "names")
+    deepest = trie.agg(F.max(F.size(F.split("prefix", " ")))).first()[0] or 1
+    small = fits(trie)
+    walked = _starts(posts, keys, deepest)
+    for depth in range(1, deepest + 1):
+        key, ends = f"_k{depth}", f"_e{depth}"
+        step = trie.select(F.col("prefix").alias(key), F.col("ends").alias(ends))
+        if depth > 1:
+            # Only where the run so far goes on in the trie, and the text has a next word.
+            alive = F.col(f"_e{depth - 1}").isNotNull() & (F.size("_w") >= depth)
+            walked = walked.withColumn(key, F.when(alive, F.array_join(F.slice("_w", 1, depth), " ")))
+        walked = join_checked(walked, step, key, "inner" if depth == 1 else "left", spread=keys, small_fits=small)
+        longest = F.when(F.col(ends), depth)
+        walked = walked.withColumn("len", longest if depth == 1 else F.coalesce(longest, "len"))
+    matches = walked.filter(F.col("len").isNotNull()).select(
+        *keys, "source", "start", "len", F.array_join(F.slice("_o", 1, F.col("len")), " ").alias("name")
+    )
     # A group is the matches inside one title and one description.
     found = matches.groupBy(*keys).agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct("source", "start", (-F.col("len")).alias("shorter"), "name")
-            )
-        ).alias("_m")
+        F.array_sort(F.collect_list(F.struct("source", "start", "len", "name"))).alias("_m")
     )
     first = F.get(F.col("_m"), 0)
     following = F.filter(
@@ -71,7 +91,7 @@ def place_names(
     )
     following_name = F.get(following, 0)["name"]
     joined = F.when(
-        (first["shorter"] == -1) & following_name.isNotNull(),
+        (first["len"] == 1) & following_name.isNotNull(),
         F.concat(first["name"], F.lit(", "), following_name),
     ).otherwise(first["name"])
     return found.select(*keys, joined.alias("location_name"))

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from placeseek.functions import kernels
 from placeseek.functions import text as tx
 from placeseek.functions import values as vx
 from placeseek.session import cut
@@ -16,6 +18,7 @@ LEXICAL = "BM25"
 SEMANTIC = "FAISS"
 SHOWN_DIGITS = 4
 EXPLAINED = 3
+# Fixed value: shown where no explanation could be made.
 FALLBACK = "Explanation unavailable."
 UNKNOWN_PLACE = "Unknown"
 # Up to this many ranked ids are pushed down to the scan of the posts.
@@ -122,6 +125,11 @@ def extract_answer(prompt_text: Column) -> Column:
     return tx.snippet(F.regexp_extract(prompt_text, r"(?s)\nArticle: (.*)\nName the place", 1))
 
 
+def generator(function: Callable[[str], str]) -> Callable[[Column], Column]:
+    """A generator for :func:`explained` of a function from prompt to text, which may fail for some prompts."""
+    return F.pandas_udf(kernels.guarded(function), T.StringType())
+
+
 def explained(
     shaped_hits: DataFrame,
     queries: DataFrame,
@@ -132,7 +140,7 @@ def explained(
 
     ``queries`` has ``query_id``, ``query`` and ``explain``. ``generate`` maps a prompt
     column to a text column, usually a pandas UDF around a model; a null answer stands
-    for a failed call and becomes a fixed text.
+    for a failed call and becomes a fixed text. :func:`generator` makes one of a function.
     """
     asked = queries.filter(F.col("explain")).select("query_id", "query")
     first = shaped_hits.filter(F.col("rank") <= top).join(asked, "query_id")

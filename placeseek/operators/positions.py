@@ -1,4 +1,4 @@
-"""Global order: running totals, row numbers and exact quantiles over any size."""
+"""Global order: running totals and row numbers over any size."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from placeseek.session import cut, parallelism
+from placeseek.sizing import join_checked
 
 
 def with_running_total(
@@ -48,36 +49,7 @@ def with_running_total(
 
 def with_part_number(df: DataFrame, key: str, size: int = 300, out: str = "part") -> DataFrame:
     """Number rows in key order and deal them into parts of ``size`` rows, from 1."""
-    placed = with_running_total(df, [key], F.lit(1), "_position")
+    placed = with_running_total(df.select(key), [key], F.lit(1), "_position")
     part = F.floor((F.col("_position") - 1) / size).cast("long") + 1
-    return placed.select(*df.columns, part.alias(out))
-
-
-def quantiles(values: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    """Exact quantiles, interpolated, per ``name`` of (name, value, n) rows.
-
-    ``values`` holds each distinct value once with its number of occurrences, so even
-    a value that fills most of the data is a single row here.
-    """
-    placed = with_running_total(values, ["name", "value"], F.col("n"), "_upto")
-    totals = placed.groupBy("name").agg(F.sum("n").alias("_total"))
-    # One row per summarised column.
-    earlier = Window.orderBy("name").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.withColumn("_base", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
-    local = placed.join(F.broadcast(bases), "name").withColumn(
-        "_rank", F.col("_upto") - F.col("_base")
-    )
-    picks = []
-    for i, p in enumerate(probabilities):
-        exact = F.lit(float(p)) * (F.col("_total") - 1)
-        picks += [
-            F.min(F.when(F.col("_rank") > F.floor(exact), F.col("value"))).alias(f"_lo{i}"),
-            F.min(F.when(F.col("_rank") > F.ceil(exact), F.col("value"))).alias(f"_hi{i}"),
-        ]
-    picked = local.groupBy("name", "_total").agg(*picks)
-    columns = []
-    for i, p in enumerate(probabilities):
-        exact = F.lit(float(p)) * (F.col("_total") - 1)
-        low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        columns.append((low + (exact - F.floor(exact)) * (high - low)).alias(f"q{i}"))
-    return picked.select("name", *columns)
+    # Only keys are put in order; the rows meet their number by a join.
+    return join_checked(df, placed.select(key, part.alias(out)), key).select(*df.columns, out)

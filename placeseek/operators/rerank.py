@@ -142,8 +142,10 @@ def chunks(posts: DataFrame, size: int, stride: int) -> DataFrame:
         F.sequence(F.lit(0), last),
         lambda i: F.array_join(F.slice("_w", i * stride + 1, size), " "),
     )
-    numbered = words.filter(F.get("_w", F.lit(0)) != "").select("id", parts.alias("_parts"))
-    return numbered.select("id", F.posexplode_outer("_parts").alias("chunk", "text"))
+    # The filter comes after the windows are made, or every text would be split for it once more.
+    windows = F.when(F.get("_w", F.lit(0)) != "", parts)
+    numbered = words.select("id", windows.alias("_parts"))
+    return numbered.select("id", F.posexplode_outer("_parts").alias("chunk", "text")).filter("chunk is not null")
 
 
 def best_per_place(hits: DataFrame, value: str = "score") -> DataFrame:
@@ -159,13 +161,40 @@ def best_per_place(hits: DataFrame, value: str = "score") -> DataFrame:
     )
 
 
-def reordered(hits: DataFrame, weights: Mapping[str, float]) -> DataFrame:
-    """Weighted sum of signal columns as ``final``, with a new rank per query."""
+def with_signals(
+    found: DataFrame,
+    posts: DataFrame,
+    queries: DataFrame,
+    cues: Mapping[str, Sequence[str]] = CUES,
+    tags: Mapping[str, Sequence[str]] | None = None,
+) -> DataFrame:
+    """``found`` (query_id, id, content, location_name) with the signals of its posts.
+
+    ``cue_balance`` positive minus negative cues, ``attribute_share`` of the asked tags,
+    ``overlap`` with the words of the query, and ``damping`` = 1 / (1 + ln(posts at the place)). Only the
+    found posts are read for the first three.
+    """
+    bodies = found.select("id", "content").dropDuplicates(["id"])
+    sign = F.when(F.col("polarity") == "positive", F.col("n")).otherwise(-F.col("n"))
+    balance = cue_counts(bodies, cues).groupBy("id").agg(F.sum(sign).alias("cue_balance"))
+    shares = attribute_match(bodies, tags or {})
+    overlap = query_overlap(found, queries)
+    placed = damped(found.withColumn("_one", F.lit(1.0)), posts, "_one").withColumnRenamed("damped", "damping")
+    known = placed.join(balance, "id", "left").join(shares, "id", "left").join(overlap, ["query_id", "id"], "left")
+    return known.drop("_one").withColumn("cue_balance", F.coalesce("cue_balance", F.lit(0)))
+
+
+def reordered(
+    hits: DataFrame, weights: Mapping[str, float], damping: Column | None = None, digits: int = 8
+) -> DataFrame:
+    """Weighted sum of signal columns, damped, as ``final``, with a new rank per query."""
     total = F.lit(0.0)
     for name, weight in weights.items():
         total = total + F.lit(float(weight)) * F.coalesce(F.col(name).cast("double"), F.lit(0.0))
+    if damping is not None:
+        total = total * damping
     order = Window.partitionBy("query_id").orderBy(F.desc("final"), F.asc("id"))
-    return hits.withColumn("final", F.round(total, 8)).withColumn(
+    return hits.withColumn("final", F.round(total, digits)).withColumn(
         "final_rank", F.row_number().over(order)
     )
 
@@ -176,9 +205,10 @@ def activity_change(
     """(key, window_start, n, trend_delta): activity and its change since the last window.
 
     Every event adds one to its own window and takes one from the next, so the change is
-    a plain sum and the same expression serves batch and stream. Windows without
-    activity give no row. ``late`` bounds how late events of a stream may come; it counts
-    from the end of the window after the newest event.
+    a plain sum and the same expression serves batch and stream. A window without activity
+    gives a row when the one before had some: a fall to nothing. In a batch, windows
+    that begin after the newest event are not over and give none. ``late`` bounds how late
+    events of a stream may come, counted from the newest event.
     """
     at = F.col(time) if late is None else F.col(time).cast("timestamp")
     own = F.struct(at.alias("_t"), F.lit(1).alias("_n"), F.lit(1).alias("_d"))
@@ -189,10 +219,12 @@ def activity_change(
     )
     marks = events.select(F.col(key), F.inline(F.array(own, later)))
     if late is not None:
-        marks = marks.withWatermark("_t", late)
+        # The newest mark lies a window after the newest event, so the wait is a window longer.
+        marks = marks.withWatermark("_t", f"{late} {window}")
     grouped = marks.groupBy(key, F.window("_t", window).alias("_window"))
-    return (
-        grouped.agg(F.sum("_n").alias("n"), F.sum("_d").alias("trend_delta"))
-        .filter(F.col("n") > 0)
-        .select(key, F.col("_window.start").alias("window_start"), "n", "trend_delta")
+    changes = grouped.agg(F.sum("_n").alias("n"), F.sum("_d").alias("trend_delta")).select(
+        key, F.col("_window.start").alias("window_start"), "n", "trend_delta"
     )
+    if late is None:
+        changes = changes.filter(F.col("window_start") <= events.agg(F.max(time)).scalar())
+    return changes

@@ -8,9 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from placeseek.functions import text as tx
 from placeseek.operators import hits as hx
 from placeseek.operators import lexical, semantic
 from placeseek.operators.lexical import LexicalIndex
+from placeseek.operators.semantic import PivotIndex
 from placeseek.session import cut
 
 LEXICAL_NAME = "bm25"
@@ -22,14 +24,20 @@ MODELS = (LEXICAL_NAME, SEMANTIC_NAME)
 class Collection:
     """What a search needs: posts, their index, their vectors and the query encoder.
 
-    ``encode(queries)`` adds ``embedding`` to (query_id, query) rows.
+    ``encode(queries)`` adds ``embedding`` to (query_id, query) rows. ``vectors`` are rows
+    (id, embedding) or a pivot index of them. A post without a vector is an error, found
+    when the collection is put together.
     """
 
     posts: DataFrame
     index: LexicalIndex
-    vectors: DataFrame
+    vectors: DataFrame | PivotIndex
     encode: Callable[[DataFrame], DataFrame]
 
+    def __post_init__(self) -> None:
+        rows = self.vectors.rows if isinstance(self.vectors, PivotIndex) else self.vectors
+        semantic.require_vectors(self.posts, rows)
+
 
 def encode_queries(queries: DataFrame) -> DataFrame:
     return semantic.encode_hashed(queries, "query", ["query_id"])
@@ -53,29 +61,34 @@ def _within_k(ranked: DataFrame, queries: DataFrame) -> DataFrame:
     return ranked.join(wanted, "query_id").filter(F.col("rank") <= F.col("k")).drop("k")
 
 
-def lexical_hits(collection: Collection, queries: DataFrame) -> DataFrame:
-    """Flat result records of the queries, by text."""
+def lexical_hits(collection: Collection, queries: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
+    """Flat result records of the queries, by text; with ``allowed(id)`` among those posts only."""
     k = _greatest_k(queries)
-    ranked = _within_k(lexical.search(collection.index, queries, k), queries)
+    among = None if allowed is None else allowed.select(F.col("id").alias("doc_id"))
+    ranked = _within_k(lexical.search(collection.index, queries, k, allowed=among), queries)
     return hx.shaped(hx.attach_posts(ranked, collection.posts), hx.LEXICAL)
 
 
-def semantic_hits(collection: Collection, queries: DataFrame) -> DataFrame:
+def semantic_hits(collection: Collection, queries: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
     """Flat result records of the queries, by vector; blank queries find nothing."""
-    asked = queries.filter(F.trim(F.col("query")) != "")
+    asked = queries.filter(~tx.is_blank(F.col("query")))
     k = _greatest_k(queries)
-    found = semantic.nearest(collection.vectors, collection.encode(asked), k)
+    found = semantic.nearest(collection.vectors, collection.encode(asked), k, allowed)
     ranked = _within_k(found, queries)
     return hx.shaped(hx.attach_posts(ranked, collection.posts, key="id"), hx.SEMANTIC)
 
 
-def search(collection: Collection, queries: DataFrame) -> DataFrame:
-    """Route each query to its model and return all flat records together."""
+def search(collection: Collection, queries: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
+    """Route each query to its model and return all flat records together.
+
+    ``allowed(id)``, such as the ids of ``rerank.restricted`` posts, limits what is ranked, so a
+    query has k hits whenever k posts pass.
+    """
     branches = []
     for name, run in ((LEXICAL_NAME, lexical_hits), (SEMANTIC_NAME, semantic_hits)):
         asked = queries.filter(F.col("model") == name)
         if not asked.isEmpty():
-            branches.append(run(collection, asked).withColumn("model", F.lit(name)))
+            branches.append(run(collection, asked, allowed).withColumn("model", F.lit(name)))
     if not branches:
         empty = queries.limit(0).withColumn("k", F.lit(1))
         return lexical_hits(collection, empty).withColumn("model", F.lit(LEXICAL_NAME))
@@ -89,6 +102,7 @@ def responses(
     collection: Collection,
     queries: DataFrame,
     generate: Callable[[Column], Column] | None = None,
+    allowed: DataFrame | None = None,
 ) -> DataFrame:
     """One row per valid query: text, parameters, ranked records, explanations.
 
@@ -96,7 +110,7 @@ def responses(
     ``model``, ``k`` and ``explain``.
     """
     asked = valid(queries)
-    flat = cut(search(collection, asked))
+    flat = cut(search(collection, asked, allowed))
     nested = None
     for name, shown in ((LEXICAL_NAME, hx.LEXICAL), (SEMANTIC_NAME, hx.SEMANTIC)):
         part = hx.records(flat.filter(F.col("model") == name), shown)

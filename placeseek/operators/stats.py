@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placeseek.functions import text as tx
 from placeseek.functions import values as vx
-from placeseek.operators.positions import quantiles
+from placeseek.session import stored
 from placeseek.sizing import join_checked
 
 QUARTILES = (0.25, 0.5, 0.75)
+# Of the sketch that brackets a quantile, and distinct values of a bracket that are looked at one by one.
+ACCURACY = 2_000
+LEFT_VALUES = 10_000
 
 
 def overview(posts: DataFrame) -> DataFrame:
@@ -81,38 +85,102 @@ def non_null_counts(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
-def _counted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(name, value, n): every distinct value of every column, counted in one shuffle."""
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in columns]
-    )
-    return (
-        df.select(F.inline(pairs))
-        .filter(F.col("value").isNotNull())
-        .groupBy("name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Count, distinct values, and the most frequent value with its frequency.
+
+    Values are counted by a 256-bit digest, so whole bodies are no shuffle keys. Of the
+    most frequent ones only the least is looked up, as a minimum inside the tasks.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in columns])
+    values = df.select(F.inline(cells)).filter(F.col("value").isNotNull())
+    keyed = values.withColumn("digest", F.sha2("value", 256))
+    counted = stored(keyed.groupBy("name", "digest").agg(F.count(F.lit(1)).alias("n")), "counted")
+    totals = counted.groupBy("name").agg(
+        F.sum("n").alias("cnt"), F.count(F.lit(1)).alias("unique"), F.max("n").alias("freq")
+    )  # a row per column
+    # Where no value repeats, all are equally frequent and none needs to be looked up.
+    leading = counted.filter("n > 1").join(F.broadcast(totals), "name").filter("n = freq").select("name", "digest")
+    once = [r.name for r in totals.filter("freq = 1").collect()]
+    tops = join_checked(keyed.filter(~F.col("name").isin(once)), leading, ["name", "digest"], "left_semi", spread="value")
+    top = tops.select("name", "value").unionByName(values.filter(F.col("name").isin(once)))
+    return totals.join(top.groupBy("name").agg(F.min("value").alias("top")), "name").select(
+        "name", "cnt", "unique", "top", "freq"
     )
 
 
-def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, distinct values, and the most frequent value with its frequency."""
-    counted = _counted(df, columns)
-    leading = F.struct((-F.col("n")).alias("n"), "value")
-    return (
-        counted.groupBy("name")
-        .agg(
-            F.sum("n").alias("cnt"),
-            F.count(F.lit(1)).alias("unique"),
-            F.min(leading).alias("_top"),
-        )
-        .select("name", "cnt", "unique", F.col("_top.value").alias("top"), (-F.col("_top.n")).alias("freq"))
-    )
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> dict[str, list[float]]:
+    """Interpolated quantiles of numeric columns, exactly, without sorting them.
+
+    A mergeable sketch brackets the ranks; the next pass counts what lies below and inside each
+    bracket; brackets with more than ``LEFT_VALUES`` distinct values get a sketch of their own. Every pass is one
+    aggregation over the columns, and a bracket shrinks to a few thousandths each time.
+    """
+    ends = df.agg(*[F.count(c) for c in columns], *[F.min(c) for c in columns], *[F.max(c) for c in columns]).first()
+    m = len(columns)
+    found: dict[tuple[int, float], list[float | None]] = {}
+    # (column, probability) to (lowest rank, highest rank, low, high, values below, inside, distinct inside).
+    open_to: dict[tuple[int, float], tuple] = {}
+    for i in range(m):
+        for p in probabilities:
+            if ends[i]:
+                exact = p * (ends[i] - 1)
+                open_to[i, p] = math.floor(exact), math.ceil(exact), ends[m + i], ends[2 * m + i], 0, ends[i], ends[i]
+            else:
+                found[i, p] = [None, None]
+
+    def inside(i: int, low: float, high: float) -> Column:
+        return F.col(columns[i]).between(low, high)
+
+    while open_to:
+        for key, (_, _, low, high, *_) in list(open_to.items()):
+            if low == high:
+                found[key] = [low, low]
+                del open_to[key]
+        if not open_to:
+            break
+        small = {k: v for k, v in open_to.items() if v[6] <= LEFT_VALUES}
+        if small:
+            cells = [
+                F.struct(F.lit(k).alias("k"), F.when(inside(i, v[2], v[3]), F.col(columns[i])).alias("v"))
+                for k, ((i, _), v) in enumerate(small.items())
+            ]
+            rows = df.select(F.inline(F.array(*cells))).filter("v is not null").groupBy("k", "v").count().collect()
+            for k, (key, (first, last, _, _, below, *_)) in enumerate(small.items()):
+                upto, picked = below, []
+                for row in sorted((r for r in rows if r.k == k), key=lambda r: r.v):
+                    upto += row["count"]
+                    picked += [row.v for rank in (first, last)[len(picked) :] if rank < upto]
+                found[key] = picked
+                del open_to[key]
+        if not open_to:
+            break
+        # The sketch may be off by a share of 1 / ACCURACY; twice that on both sides is safe.
+        sketches = []
+        for (i, _), (first, last, low, high, below, n, _) in open_to.items():
+            near = [max(0.0, (first - below) / n - 2 / ACCURACY), min(1.0, (last - below + 1) / n + 2 / ACCURACY)]
+            sketches.append(F.percentile_approx(F.when(inside(i, low, high), F.col(columns[i])), near, ACCURACY))
+        brackets = df.agg(*[s.alias(f"_{k}") for k, s in enumerate(sketches)]).first()
+        counts = []
+        for (i, _), (low, high) in zip(open_to, brackets, strict=True):
+            held = F.when(inside(i, low, high), F.col(columns[i]))
+            counts += [F.count_if(F.col(columns[i]) < low), F.count(held), F.approx_count_distinct(held)]
+        totals = df.agg(*[c.alias(f"_{k}") for k, c in enumerate(counts)]).first()
+        for k, ((key, (first, last, *_)), (low, high)) in enumerate(zip(list(open_to.items()), brackets, strict=True)):
+            open_to[key] = first, last, low, high, *totals[3 * k : 3 * k + 3]
+    out: dict[str, list[float]] = {}
+    for i, c in enumerate(columns):
+        out[c] = []
+        for p in probabilities:
+            low, high = found[i, p]
+            exact = p * (ends[i] - 1)
+            out[c].append(None if low is None else low + (exact - math.floor(exact)) * (high - low))
+    return out
 
 
 def describe_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles per column.
 
-    Quartiles come from globally ordered distinct values, so no task holds them all.
+    ``df`` is read several times, a few numbers a row: store columns that are costly to work out.
     """
     numeric = df.select(*[vx.without_nan(F.col(c).cast("double")).alias(c) for c in columns])
     aggregates = []
@@ -124,21 +192,15 @@ def describe_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.min(c).alias(f"_{i}_min"),
             F.max(c).alias(f"_{i}_max"),
         ]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("name"),
-                *[F.col(f"_{i}_{part}").alias(part) for part in ("cnt", "mean", "std", "min", "max")],
-            )
-            for i, c in enumerate(columns)
-        ]
-    )
-    moments = numeric.agg(*aggregates).select(F.inline(rows))
-    parts = quantiles(_counted(numeric, columns), QUARTILES)
-    return moments.join(parts, "name", "left").select(
-        "name", "cnt", "mean", "std", F.col("min").alias("min_value"),
-        F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75"),
-        F.col("max").alias("max_value"),
+    moments = numeric.agg(*aggregates).first()
+    quartiles = exact_quantiles(numeric, columns, QUARTILES)
+    rows = [
+        (c, *(moments[f"_{i}_{part}"] for part in ("cnt", "mean", "std", "min")), *quartiles[c], moments[f"_{i}_max"])
+        for i, c in enumerate(columns)
+    ]
+    return df.sparkSession.createDataFrame(
+        rows,
+        "name string, cnt long, mean double, std double, min_value double, q25 double, q50 double, q75 double, max_value double",
     )
 
 

@@ -8,6 +8,7 @@ from placeseek.functions import text as tx
 from placeseek.operators import lexical
 from placeseek.plans import shared
 from placeseek.plans.registry import query
+from placeseek.session import work_path
 from placeseek.sources.tables import table
 
 TOP = 12
@@ -154,6 +155,20 @@ def index_postings(spark, folder):
     return shared.corpus_index(spark, folder).postings.select("term", "doc_id", "tf", "dl")
 
 
+@query("c12_index_grown", f"WITH {shared.INDEX} SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS n, CAST(sum(tf * dl) AS BIGINT) AS mass FROM tf JOIN dl USING (doc_id) GROUP BY term")
+def index_grown(spark, folder):
+    """An index appended to twice and merged, summed per term."""
+    docs, path = shared.searchable(spark, folder), work_path(spark, "grown")
+    for part in range(3):
+        lexical.append_index(docs.filter(F.col("doc_id") % 3 == part), path)
+    index = lexical.compact(spark, path, fan=3)
+    sums = index.postings.groupBy("term").agg(
+        F.count(F.lit(1)).alias("found"), F.sum("tf").alias("n"), F.sum(F.col("tf") * F.col("dl")).alias("mass")
+    )
+    # The stored frequencies must be those of the postings.
+    return sums.join(index.terms, "term").filter("found = df").select("term", "df", "n", "mass")
+
+
 @query("a10_batch_search", _hits_sql(BATCH_TOP, shared.FLOORED_IDF, shared.BENCHMARK_QUERIES))
 def batch_search(spark, folder):
     return _search(

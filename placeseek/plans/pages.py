@@ -163,7 +163,11 @@ def pages_per_site(spark, folder):
     return extract.first_pages(posts, order="id").select("site", "id", "place")
 
 
-@query("b7_title_raw", f"SELECT page_id, {TITLE_RAW} AS title FROM pages WHERE {TITLE_RAW} IS NOT NULL")
+@query(
+    "b7_title_raw",
+    f"""SELECT page_id, replace(replace(replace({sql_decode(TITLE_RAW)}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS title
+FROM pages WHERE {TITLE_RAW} IS NOT NULL""",
+)
 def title_raw(spark, folder):
     rows = _pages(spark, folder).select("page_id", hx.title_raw(F.col("html")).alias("title"))
     return rows.filter(F.col("title").isNotNull())
@@ -297,11 +301,10 @@ def sql_found(source: str) -> str:
     return f"""{shared.GAZETTEER},
 pieces AS ({pieces}),
 starts AS (SELECT *, unnest(range(1, len(w) + 1)) AS s FROM pieces),
-spans AS (
-  SELECT id, source, s, n AS len, array_to_string(list_slice(w, s, s + n - 1), ' ') AS key,
-         array_to_string(list_slice(o, s, s + n - 1), ' ') AS shown
-  FROM starts, range(1, {gazetteer.LONGEST_NAME + 1}) r(n) WHERE s + n - 1 <= len(w)),
-matches AS (SELECT id, source, s, len, shown FROM spans JOIN gnames ON key = name),
+known AS (SELECT DISTINCT string_split(name, ' ') AS g FROM gnames),
+matches AS (
+  SELECT id, source, s, len(g) AS len, array_to_string(list_slice(o, s, s + len(g) - 1), ' ') AS shown
+  FROM starts JOIN known ON w[s] = g[1] AND list_slice(w, s, s + len(g) - 1) = g),
 firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY source, s, len DESC) AS n FROM matches) WHERE n = 1),
 nexts AS (
   SELECT id, arg_max(m.shown, m.len) AS shown FROM firsts f JOIN matches m USING (id)

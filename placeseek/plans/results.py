@@ -79,12 +79,12 @@ SELECT query_id, rank, id, distance FROM near JOIN queries q USING (query_id) WH
 )
 def blank_queries(spark, folder):
     """Every other query text replaced by blanks; those must find nothing."""
-    blank = F.when(F.char_length("query") % 2 == 0, F.col("query")).otherwise("   ")
+    blank = F.when(F.char_length("query") % 2 == 0, F.col("query")).otherwise(" \t\n\u3000 ")
     asked = _asked(spark, folder, FEW, "faiss").withColumn("query", blank)
     found = search.semantic_hits(shared.collection(spark, folder), asked)
     from placeseek.operators import semantic
 
-    encoded = search.encode_queries(asked.filter(F.trim("query") != ""))
+    encoded = search.encode_queries(asked.filter(F.col("query").rlike(r"[^\s\u3000]")))
     ranked = semantic.nearest(shared.corpus_vectors(spark, folder), encoded, FEW)
     return found.select("query_id", "rank", "id").join(ranked, ["query_id", "rank", "id"])
 
@@ -299,6 +299,26 @@ def explanations(spark, folder):
     return hx.explained(found, asked)
 
 
+def _length_or_failure(prompt):
+    if len(prompt) % 2:
+        raise RuntimeError("no answer")
+    return f"{len(prompt)} letters"
+
+
+@query(
+    "e15_failing_generator",
+    f"""WITH {shared.sql_hits(FEW)}
+SELECT query_id, rank, h.id,
+       CASE WHEN length({PROMPT}) % 2 = 1 THEN 'Explanation unavailable.' ELSE length({PROMPT}) || ' letters' END AS explanation
+FROM hits h JOIN posts p ON p.id = h.id JOIN queries q USING (query_id) WHERE rank <= 3""",
+)
+def failing_generator(spark, folder):
+    """A generator that fails for some prompts: those hits get the fixed text, the others their own."""
+    asked = _asked(spark, folder, FEW).withColumn("explain", F.lit(True))
+    found = search.lexical_hits(shared.collection(spark, folder), asked)
+    return hx.explained(found, asked, hx.generator(_length_or_failure))
+
+
 @query(
     "f7_result_summary",
     f"""WITH {shared.sql_hits(TOP)}
@@ -312,6 +332,20 @@ def result_summary(spark, folder):
     )
 
 
+@query(
+    "f7_result_summary_semantic",
+    f"""WITH {shared.sql_near(TOP)}
+SELECT query_id, count(*) AS hits, CAST(NULL AS DOUBLE) AS mean_score,
+       CASE WHEN sum({SHOWN.format('distance')}) > 0 THEN round(avg({SHOWN.format('distance')}), 6) END AS mean_distance
+FROM near GROUP BY query_id""",
+)
+def result_summary_semantic(spark, folder):
+    found = search.semantic_hits(shared.collection(spark, folder), _asked(spark, folder, model="faiss"))
+    return hx.summary(found).select(
+        "query_id", "hits", "mean_score", F.round("mean_distance", 6).alias("mean_distance")
+    )
+
+
 MAPPED = f"""
 points AS (
   SELECT query_id, h.id, latitude AS lat, longitude AS lon, {SHOWN.format('distance')} AS value
@@ -347,7 +381,7 @@ def relative_colours(spark, folder):
 @query(
     "a9_ranked_export",
     f"""WITH {shared.sql_hits(TOP)}
-SELECT score AS "Score", location_name AS "Location Name", page_title AS "Page Title",
+SELECT query_id, score AS "Score", location_name AS "Location Name", page_title AS "Page Title",
        longitude AS "Longitude", latitude AS "Latitude"
 FROM hits h JOIN posts p ON p.id = h.id""",
 )

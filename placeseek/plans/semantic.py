@@ -8,6 +8,7 @@ from placeseek.functions import values as vx
 from placeseek.operators import semantic
 from placeseek.plans import shared
 from placeseek.plans.registry import query
+from placeseek.session import work_path
 from placeseek.sources import vectors as vs
 from placeseek.sources.tables import posts_from_documents, table
 
@@ -50,6 +51,35 @@ def encode_hashed(spark, folder):
     ).select("id", F.col("pos").cast("long").alias("pos"), F.round("v", 6).alias("v"))
 
 
+def _letters_model():
+    """A stand-in for a user's model: length, words and one letter of each text."""
+    import numpy as np
+
+    def predict(texts):
+        return np.array([[len(t), t.count(" "), t.count("e")] for t in texts], dtype=np.float32)
+
+    return predict
+
+
+@query(
+    "d1_encode_model",
+    """SELECT doc_id AS id, CAST(length(text) AS DOUBLE) AS letters, CAST(length(text) - length(replace(text, ' ', '')) AS DOUBLE) AS blanks,
+       CAST(length(text) - length(replace(text, 'e', '')) AS DOUBLE) AS es FROM documents""",
+)
+def encode_model(spark, folder):
+    """A user's model over half of the posts, then over all: the second run encodes the rest."""
+    posts = posts_from_documents(spark, folder, ("id", "content"))
+    path = work_path(spark, "encoded")
+
+    def encode(rows):
+        return semantic.encode_with(rows, "text", _letters_model)
+
+    vs.upsert_vectors(posts.filter("id % 2 = 0"), path, encode, "content")
+    vectors = vs.upsert_vectors(posts, path, encode, "content")
+    at = [F.col("embedding")[k].cast("double").alias(c) for k, c in enumerate(("letters", "blanks", "es"))]
+    return vectors.select("id", *at)
+
+
 @query(
     "d4_encode_queries",
     f"""WITH {shared.BOTH_ENCODED}
@@ -156,7 +186,7 @@ def knn_l2(spark, folder):
 def knn_l2_batch(spark, folder):
     """Every benchmark text against every document vector."""
     queries = shared.encode_queries(shared.benchmark_queries(spark, folder))
-    return semantic.nearest(shared.corpus_vectors(spark, folder), queries, NEAREST)
+    return semantic.nearest(shared.corpus_pivots(spark, folder), queries, NEAREST)
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from placeseek.functions import text as tx
 from placeseek.operators import lexical, semantic
+from placeseek.operators.gazetteer import WORD_OR_MARK
 from placeseek.operators.search import Collection, encode_queries
 from placeseek.session import stored, work_path
 from placeseek.sources.tables import posts_from_documents, table
@@ -51,6 +52,13 @@ def corpus_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return _held[key]
 
 
+def corpus_pivots(spark: SparkSession, folder: str) -> semantic.PivotIndex:
+    key = ("pivots", *_version(spark, folder, ("documents",)))
+    if key not in _held:
+        _held[key] = semantic.build_pivots(corpus_vectors(spark, folder), work_path(spark, "pivots"))
+    return _held[key]
+
+
 def benchmark_queries(spark: SparkSession, folder: str) -> DataFrame:
     """(query_id, query): every benchmark text as a query."""
     return table(spark, folder, "benchmark").select(
@@ -59,12 +67,15 @@ def benchmark_queries(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def collection(spark: SparkSession, folder: str) -> Collection:
-    return Collection(
-        posts_from_documents(spark, folder),
-        corpus_index(spark, folder),
-        corpus_vectors(spark, folder),
-        encode_queries,
-    )
+    key = ("collection", *_version(spark, folder, ("documents", "labels", "nation", "region")))
+    if key not in _held:
+        _held[key] = Collection(
+            posts_from_documents(spark, folder),
+            corpus_index(spark, folder),
+            corpus_pivots(spark, folder),
+            encode_queries,
+        )
+    return _held[key]
 
 
 def gazetteer(spark: SparkSession, folder: str) -> DataFrame:
@@ -74,9 +85,15 @@ def gazetteer(spark: SparkSession, folder: str) -> DataFrame:
     pairs = words.filter(F.size("w") >= 2).select(
         F.concat_ws(" ", F.get("w", F.lit(0)), F.get("w", F.lit(1))).alias("name")
     )
+    # Names of five and nine pieces: openings of some titles.
+    titles = table(spark, folder, "documents").filter("doc_id % 29 = 0").select(
+        F.regexp_extract_all(F.lower(F.split_part("text", F.lit("\n"), F.lit(1))), F.lit(WORD_OR_MARK), F.lit(0)).alias("w"),
+        F.when(F.col("doc_id") % 2 == 0, 5).otherwise(9).alias("n"),
+    )
+    openings = titles.filter(F.size("w") >= F.col("n")).select(F.array_join(F.slice("w", 1, F.col("n")), " ").alias("name"))
     size = F.char_length("name")
     return (
-        single.unionByName(pairs)
+        single.unionByName(pairs).unionByName(openings)
         .distinct()
         .select(
             "name",
@@ -142,14 +159,14 @@ def sql_tokens(x: str) -> str:
 INDEX = f"""
 {POSTS}, {TEXTS},
 tokens AS (SELECT doc_id, unnest({sql_tokens('t')}) AS term FROM texts),
-tf AS (SELECT doc_id, term, count(*) AS tf FROM tokens GROUP BY doc_id, term),
-dl AS (SELECT x.doc_id, CAST(coalesce(sum(tf), 0) AS BIGINT) AS dl FROM texts x LEFT JOIN tf USING (doc_id) GROUP BY x.doc_id),
-df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+tf AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM tokens GROUP BY doc_id, term),
+dl AS MATERIALIZED (SELECT x.doc_id, CAST(coalesce(sum(tf), 0) AS BIGINT) AS dl FROM texts x LEFT JOIN tf USING (doc_id) GROUP BY x.doc_id),
+df AS MATERIALIZED (SELECT term, count(*) AS df FROM tf GROUP BY term),
 corpus AS (SELECT count(*) AS n, CAST(sum(dl) AS BIGINT) AS total_len, avg(dl) AS avgdl FROM dl)"""
 
 SMOOTHED_IDF = "idf AS (SELECT term, ln(1 + (n - df + 0.5) / (df + 0.5)) AS idf FROM df, corpus)"
 FLOORED_IDF = """
-raw AS (SELECT term, ln(n - df + 0.5) - ln(df + 0.5) AS v FROM df, corpus),
+raw AS MATERIALIZED (SELECT term, ln(n - df + 0.5) - ln(df + 0.5) AS v FROM df, corpus),
 idf AS (SELECT term, CASE WHEN v < 0 THEN 0.25 * (SELECT avg(v) FROM raw) ELSE v END AS idf FROM raw)"""
 
 BENCHMARK_QUERIES = "queries AS (SELECT item_id AS query_id, text AS query FROM benchmark)"
@@ -217,7 +234,10 @@ gwords AS (SELECT {sql_tokens('text')} AS w FROM benchmark),
 gnames AS (
   SELECT DISTINCT name FROM (
     SELECT unnest(w) AS name FROM gwords) WHERE length(name) >= 5
-  UNION SELECT w[1] || ' ' || w[2] FROM gwords WHERE len(w) >= 2),
+  UNION SELECT w[1] || ' ' || w[2] FROM gwords WHERE len(w) >= 2
+  UNION SELECT array_to_string(w[1:n], ' ') FROM (
+    SELECT regexp_extract_all(lower(split_part(text, chr(10), 1)), '{WORD_OR_MARK}') AS w,
+           CASE WHEN doc_id % 2 = 0 THEN 5 ELSE 9 END AS n FROM documents WHERE doc_id % 29 = 0) WHERE len(w) >= n),
 gazetteer AS (
   SELECT name, CAST(length(name) * 13 % 180 - 90 AS DOUBLE) AS lat,
          CAST(length(name) * 29 % 360 - 180 AS DOUBLE) AS lon FROM gnames)"""

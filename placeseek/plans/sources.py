@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from placeseek.plans import shared
@@ -101,14 +103,30 @@ def keyed_insert(spark, folder):
     return tables.read_posts(spark, path).select("id", "page_url")
 
 
-@query("a11_keyed_insert_stream", f"WITH {shared.POSTS} SELECT DISTINCT page_url FROM posts")
+@query("a11_keyed_insert_stream", f"WITH {shared.POSTS} SELECT min(id) AS id, page_url FROM posts GROUP BY page_url")
 def keyed_insert_stream(spark, folder):
     """The same on a stream of post files, a few per batch."""
     arrivals, path = work_path(spark, "arrivals"), work_path(spark, "table")
+    # Files in order of id, so that the first row of an address is in the first batch that has it.
     tables.write_posts(posts_from_documents(spark, folder), arrivals)
     stream = ingest.arriving_posts(spark, arrivals, files_per_batch=3)
     ingest.ingest(stream, path, work_path(spark, "progress")).awaitTermination()
-    return tables.read_posts(spark, path).select("page_url")
+    return tables.read_posts(spark, path).select("id", "page_url")
+
+
+@query("a12_create_table", f"WITH {shared.POSTS} SELECT id, page_url, location_name FROM posts")
+def create_table(spark, folder):
+    """A table created twice, with its columns as they should be, filled and read."""
+    name, path = f"posts_{uuid.uuid4().hex}", work_path(spark, "created")
+    store.create_table(spark, name, path)
+    store.create_table(spark, name, path)
+    try:
+        if spark.table(name).dtypes != [(f.name, f.dataType.simpleString()) for f in POST.fields]:
+            raise ValueError("unexpected columns")
+        posts_from_documents(spark, folder).select(*POST.names).write.insertInto(name)
+        return tables.read_posts(spark, path).select("id", "page_url", "location_name")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 @query(

@@ -8,6 +8,7 @@ from placeseek.functions import values as vx
 from placeseek.operators import stats
 from placeseek.plans import shared
 from placeseek.plans.registry import query
+from placeseek.session import stored
 from placeseek.sources.tables import posts_from_documents, table
 
 STOP_WORDS = ("the", "of", "and", "de", "la", "le", "les", "et", "der", "die", "das", "und", "el", "que")
@@ -180,8 +181,9 @@ FEATURES = ("title_len", "desc_len", "word_count")
 
 
 def _lengths(spark, folder):
+    """Three numbers a post, stored: the texts are measured once."""
     posts = _posts(spark, folder, "id", "page_title", "page_description", "content")
-    return stats.with_text_lengths(stats.with_word_count(posts)).select("id", *FEATURES)
+    return stored(stats.with_text_lengths(stats.with_word_count(posts)).select("id", *FEATURES), "lengths")
 
 
 @query(
@@ -294,8 +296,6 @@ def tone(spark, folder):
     f"WITH {TONES}, rounded AS (SELECT round(tone, 6) AS tone FROM tones) {sql_histogram('rounded', 'tone', 30)}",
 )
 def histogram_tone(spark, folder):
-    from placeseek.session import stored
-
     # The histogram reads its input twice; the tones are worth storing once.
     return stats.histogram(stored(_tones(spark, folder), "tones"), "tone", 30)
 

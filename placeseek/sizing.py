@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,16 +21,32 @@ SALTS = 32
 HOT_ROWS = 1_000_000
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there; any other trouble with the store is an error."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_chars: int = BROADCAST_CHARS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and ``max_chars`` of text.
+    """True when ``df`` has at most ``max_rows`` rows and ``max_chars`` bytes in all columns.
 
     Reads no more than ``max_rows + 1`` rows.
     """
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    chars = F.lit(0).cast("long")
-    for name in texts:
-        chars = chars + F.coalesce(F.octet_length(F.col(name)).cast("long"), F.lit(0))
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(chars)).first()
+    size = F.lit(0).cast("long")
+    for field in df.schema.fields:
+        if isinstance(field.dataType, T.StringType | T.BinaryType):
+            size = size + F.coalesce(F.octet_length(F.col(field.name)).cast("long"), F.lit(0))
+        elif isinstance(field.dataType, T.ArrayType | T.MapType | T.StructType):
+            # Nested values count by their text, which is never shorter than a few bytes each.
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(field.name)))).cast("long"), F.lit(0))
+        else:
+            size = size + F.lit(8)
+    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(size)).first()
     return row[0] <= max_rows and (row[1] or 0) <= max_chars
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,10 +30,10 @@ def read_csv(spark: SparkSession, path: str, schema=POST) -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Quotes doubled, blanks kept, missing values marked."""
+def write_csv(df: DataFrame, path: str, folders: Sequence[str] = ()) -> None:
+    """Quotes doubled, blanks kept, missing values marked; ``folders`` become folder names."""
     (
-        df.write.mode("overwrite")
+        df.write.mode("overwrite").partitionBy(*folders)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
@@ -75,8 +77,10 @@ def read_json(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def ranked_export(hits: DataFrame) -> DataFrame:
-    """Hits under the names of the ranked export, best first."""
-    return hits.orderBy(F.desc("score"), F.asc("id")).select(
+    """Hits under the names of the ranked export, with their query; best first within each."""
+    dealt = hits.repartition("query_id").sortWithinPartitions("query_id", F.desc("score"), F.asc("id"))
+    return dealt.select(
+        "query_id",
         F.col("score").cast("double").alias("Score"),
         F.col("location_name").alias("Location Name"),
         F.col("page_title").alias("Page Title"),
@@ -86,9 +90,9 @@ def ranked_export(hits: DataFrame) -> DataFrame:
 
 
 def write_ranked(hits: DataFrame, path: str) -> None:
-    """The k best rows as one CSV file."""
-    write_csv(ranked_export(hits).coalesce(1), path)
+    """The k best rows of each query as one CSV file in a folder of its own."""
+    write_csv(ranked_export(hits), path, ["query_id"])
 
 
 def read_ranked(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, RANKED_EXPORT)
+    return read_csv(spark, path, f"{RANKED_EXPORT.toDDL()}, query_id long")

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from placeseek.operators.topk import top_k
 from placeseek.schema import POST
-from placeseek.sizing import localised
+from placeseek.sizing import exists, localised, one_of
 from placeseek.sources.tables import POST_COLUMNS, duplicate_keys
 
 KEY = "page_url"
+# Buckets of a new table, and the bits of the bitmap that Spark's bitmap functions build.
+BUCKETS = 64
+FILTER_BITS = 32_768
+STORED = T.StructType([*POST.fields, T.StructField("bucket", T.IntegerType())])
+FILTERS = "bucket int, bits binary, buckets int"
 
 
 def create_table(spark: SparkSession, name: str, path: str | None = None) -> None:
@@ -39,30 +44,81 @@ def first_per_key(arrivals: DataFrame, order: str = "id") -> DataFrame:
     return top_k(keyed, [KEY], [F.asc(order)], 1, order, rank="_place").drop("_place")
 
 
-def new_rows(arrivals: DataFrame, existing: DataFrame | None, order: str = "id") -> DataFrame:
-    """First rows of addresses that the table does not hold yet.
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int").alias("bucket")
 
-    A small batch is compared by sending its addresses to the table, so the addresses
-    of the table need not be shuffled for every batch.
-    """
-    fresh = first_per_key(arrivals, order)
-    if existing is None:
-        return fresh
-    keys, rows = localised(fresh.select(KEY))
-    taken = existing.select(KEY)
-    if rows is not None:
-        taken = taken.join(F.broadcast(keys), KEY, "left_semi")
-    return fresh.join(taken, KEY, "left_anti")
+
+def _bits() -> list[Column]:
+    """Places of an address in the bitmap of its bucket: two, from independent hashes."""
+    return [F.pmod(F.xxhash64(F.lit(seed), KEY), F.lit(FILTER_BITS)).cast("int") for seed in (1, 2)]
 
 
 def existing_posts(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(POST).parquet(path)
-    except AnalysisException:
+    """The stored posts with their ``bucket``; None before the first append."""
+    if not exists(spark, path):
         return None
+    return spark.read.schema(STORED).parquet(path)
+
+
+def _filters(spark: SparkSession, path: str) -> DataFrame | None:
+    at = f"{path}/_filters"
+    return spark.read.schema(FILTERS).parquet(at) if exists(spark, at) else None
+
+
+def _possibly_stored(keyed: DataFrame, filters: DataFrame, buckets: list[int] | None) -> DataFrame:
+    """Rows (page_url, bucket, bits) all of whose bits are set in the filter of their bucket."""
+    if buckets is not None:
+        filters = filters.filter(one_of("bucket", buckets))
+    merged = filters.groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("_set"))
+    held = keyed.join(merged, "bucket")
 
+    def is_set(bit: Column) -> Column:
+        byte = F.conv(F.hex(F.substring(F.col("_set"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        return byte.bitwiseAND(F.expr("1").cast("int") * F.pow(F.lit(2), bit % 8).cast("int")) != 0
 
-def append_new(arrivals: DataFrame, path: str, order: str = "id") -> None:
-    """Append the new rows; rows already stored are never rewritten or lost."""
-    existing = existing_posts(arrivals.sparkSession, path)
-    new_rows(arrivals, existing, order).select(*POST_COLUMNS).write.mode("append").parquet(path)
+    return held.filter(is_set(F.col("bits")[0]) & is_set(F.col("bits")[1])).select(KEY, "bucket")
+
+
+def taken(fresh: DataFrame, path: str) -> DataFrame | None:
+    """(page_url) of the fresh rows that the table holds already.
+
+    Bitmaps tell most new addresses apart without a look at the table. For the others only the buckets
+    that may hold them are read, and of these only the address column.
+    """
+    spark = fresh.sparkSession
+    existing, filters = existing_posts(spark, path), _filters(spark, path)
+    if existing is None or filters is None:
+        return None
+    keyed = fresh.select(KEY, _bucket(filters.agg(F.max("buckets")).first()[0]), F.array(*_bits()).alias("bits"))
+    wanted = [r.bucket for r in keyed.select("bucket").distinct().collect()]  # no more than buckets
+    possible = _possibly_stored(keyed, filters, wanted)
+    hit = sorted(r.bucket for r in possible.select("bucket").distinct().collect())
+    stored_keys = existing.filter(one_of("bucket", hit)).select(KEY, "bucket")
+    keys, rows = localised(possible.select(KEY, "bucket"))
+    return stored_keys.join(F.broadcast(keys) if rows is not None else keys, [KEY, "bucket"], "left_semi").select(KEY)
+
+
+def append_new(arrivals: DataFrame, path: str, order: str = "id", buckets: int = BUCKETS) -> None:
+    """Append the first row of each address that the table does not hold; stored rows are never touched.
+
+    Posts lie in buckets by a hash of their address, and every append adds its addresses to the buckets'
+    bitmaps before it adds the posts: if it fails in between, the bitmaps only say "perhaps" more
+    often, and a repeated append adds what is missing and nothing twice. ``buckets`` counts for the first
+    append; later ones keep to it.
+    """
+    spark = arrivals.sparkSession
+    filters = _filters(spark, path)
+    if filters is not None:
+        buckets = filters.agg(F.max("buckets")).first()[0]
+    # A batch is small beside the table; it is worked out once.
+    fresh = first_per_key(arrivals, order).persist()
+    try:
+        known = taken(fresh, path)
+        added = fresh if known is None else fresh.join(known, KEY, "left_anti")
+        added = added.select(*POST_COLUMNS, _bucket(buckets))
+        bits = added.select("bucket", F.explode(F.array(*_bits())).alias("_bit"))
+        bitmaps = bits.groupBy("bucket").agg(F.bitmap_construct_agg("_bit").alias("bits"))
+        bitmaps.withColumn("buckets", F.lit(buckets)).write.mode("append").parquet(f"{path}/_filters")
+        added.write.mode("append").partitionBy("bucket").parquet(path)
+    finally:
+        fresh.unpersist()

@@ -16,7 +16,7 @@ POST_COLUMNS = tuple(POST.names)
 
 def read_posts(spark: SparkSession, path: str) -> DataFrame:
     """Full scan of a stored post table."""
-    return spark.read.schema(POST).parquet(path)
+    return spark.read.schema(POST).parquet(path).select(*POST_COLUMNS)
 
 
 def write_posts(posts: DataFrame, path: str, mode: str = "overwrite") -> None:

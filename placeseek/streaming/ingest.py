@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from placeseek.schema import POST
@@ -21,7 +20,7 @@ def ingest(arrivals: DataFrame, table: str, progress: str) -> StreamingQuery:
     """Append arriving posts, skipping addresses stored at any earlier time.
 
     Posts carry no event time that could bound the state of a streaming duplicate
-    filter, so each batch is compared with the stored table itself. A batch repeated
+    filter, so the table's own buckets and bitmaps are the state. A batch repeated
     after a failure finds its rows stored and adds nothing.
     """
 
@@ -34,7 +33,3 @@ def ingest(arrivals: DataFrame, table: str, progress: str) -> StreamingQuery:
         .trigger(availableNow=True)
         .start()
     )
-
-
-def stored(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.schema(POST).parquet(table).orderBy(F.asc("id"))

@@ -12,7 +12,7 @@ def activity_change_stream(
 ) -> DataFrame:
     """:func:`activity_change` with bounded state: one counter pair per key and open window.
 
-    A window is emitted once the newest event, moved one window on, is ``late`` past its
-    end; events later than that are dropped.
+    A window is emitted once the newest event is ``late`` past its end; events later than that
+    are dropped.
     """
     return activity_change(events, time, key, window, late)

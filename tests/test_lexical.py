@@ -135,3 +135,115 @@ def test_salted_join_equals_plain_join(spark, how, monkeypatch):
     want = sorted(map(str, large.join(small, "k", how).collect()))
     got = sorted(map(str, join_checked(large, small, "k", how, spread="id", small_fits=False).collect()))
     assert got == want
+
+
+def grown(spark, texts, cuts, range_docs=2):
+    """An index built by appending slices of ``texts``."""
+    path = work_path(spark, "grown")
+    docs = list(enumerate(texts))
+    for begin, end in zip([0, *cuts], [*cuts, len(docs)]):
+        part = spark.createDataFrame(docs[begin:end], "doc_id long, text string").repartition(3)
+        index = lexical.append_index(part, path, range_docs=range_docs)
+    return index
+
+
+def contents(index):
+    return [
+        sorted(map(tuple, index.postings.select("term", "doc_id", "tf", "dl").collect())),
+        sorted(map(tuple, index.terms.select("bucket", "term", "df").collect())),
+        sorted(map(tuple, index.documents.collect())),
+        [round(x, 12) for x in index.corpus.first()],
+    ]
+
+
+def random_texts(seed, n=240):
+    draw = random.Random(seed)
+    words = [f"w{i}" for i in range(80)]
+    weights = [1 / (i + 1) for i in range(80)]
+    texts = [" ".join(draw.choices(words, weights, k=draw.randint(0, 25))) for _ in range(n)]
+    return texts + [texts[3]] * (n // 3), draw, words
+
+
+@pytest.mark.parametrize("form", [lexical.FLOORED, lexical.SMOOTHED])
+def test_skipping_ranges_gives_the_same_hits(spark, form):
+    texts, draw, words = random_texts(11)
+    index = grown(spark, texts, [100, 170], range_docs=4)
+    assert index.ranges.count() > 40
+    queries = [" ".join(draw.choices(words, k=draw.randint(1, 5))) for _ in range(12)] + ["nosuchword", "", texts[3]]
+    got = found(spark, index, queries, 3, form)
+    for i, query in enumerate(queries):
+        close(got[i], brute(texts, query, 3, form) if query else [])
+
+
+def test_few_ranges_are_read(spark, monkeypatch):
+    texts = [f"common filler{i}" for i in range(200)] + ["rare rare common"] * 3
+    index = grown(spark, texts, [], range_docs=4)
+    read = []
+    scored = lexical._scored
+
+    def counting(index, heads, wanted, *rest):
+        read.append(wanted.count())
+        return scored(index, heads, wanted, *rest)
+
+    monkeypatch.setattr(lexical, "_scored", counting)
+    close(found(spark, index, ["rare common"], 3, lexical.SMOOTHED)[0], brute(texts, "rare common", 3, "smoothed"))
+    assert read[0] == 3 and read[1] == 0 and index.ranges.count() > 50
+
+
+@pytest.mark.parametrize("form", [lexical.FLOORED, lexical.SMOOTHED])
+def test_negative_mean_weight_over_many_ranges(spark, form):
+    texts = ["a b c"] * 30 + ["", "zzz", "a"] + ["b a c"] * 9
+    index = grown(spark, texts, [20], range_docs=2)
+    for query in ("a", "zzz a", "b c", "nosuchword"):
+        close(found(spark, index, [query], 5, form)[0], brute(texts, query, 5, form))
+
+
+def test_an_index_in_three_appends_equals_one(spark):
+    texts, draw, words = random_texts(12, 90)
+    whole = grown(spark, texts, [], range_docs=16)
+    parts = grown(spark, texts, [40, 77], range_docs=16)
+    assert len(parts.segments) == 3 and contents(parts) == contents(whole)
+    merged = lexical.compact(spark, parts.path, fan=2, range_docs=16)
+    assert len(merged.segments) == 1 and contents(merged) == contents(whole)
+    assert merged.ranges.agg({"n": "max"}).first()[0] <= 32
+    # Readers of the earlier version are not disturbed.
+    assert contents(parts) == contents(whole) and contents(lexical.load_index(spark, parts.path, 2)) == contents(whole)
+    queries = [" ".join(draw.choices(words, k=3)) for _ in range(5)]
+    assert found(spark, merged, queries, 4, lexical.FLOORED) == found(spark, whole, queries, 4, lexical.FLOORED)
+
+
+def test_empty_parts_of_an_index(spark):
+    texts = ["kyoto temples", "sea"]
+    index = grown(spark, texts, [0, 1, 2])
+    close(found(spark, index, ["sea"], 2, lexical.SMOOTHED)[0], brute(texts, "sea", 2, "smoothed"))
+    nothing = grown(spark, [], [])
+    assert found(spark, nothing, ["sea"], 2, lexical.SMOOTHED) == {0: []}
+
+
+@pytest.mark.parametrize("range_docs", [2, 4096])
+def test_ranking_inside_a_filtered_set(spark, range_docs):
+    texts, draw, words = random_texts(13, 120)
+    index = grown(spark, texts, [50], range_docs=range_docs)
+    allowed = [i for i in range(len(texts)) if i % 7 == 3]
+    frame = spark.createDataFrame([(i,) for i in [*allowed, 10_000]], "doc_id long")
+    queries = [" ".join(draw.choices(words, k=3)) for _ in range(6)] + ["nosuchword"]
+    asked = spark.createDataFrame(list(enumerate(queries)), "query_id long, query string")
+    rows = lexical.search(index, asked, 5, allowed=frame).orderBy("query_id", "rank").collect()
+    for i, query in enumerate(queries):
+        want = [(d, s) for _, d, s in brute(texts, query, len(texts), "floored") if d in allowed][:5]
+        got = [(r.doc_id, r.score) for r in rows if r.query_id == i]
+        assert [d for d, _ in got] == [d for d, _ in want]
+        assert [s for _, s in got] == pytest.approx([s for _, s in want], abs=2e-6)
+    none = lexical.search(index, asked, 5, allowed=frame.limit(0))
+    assert none.count() == 0
+
+
+def test_large_batches_over_many_ranges(spark, monkeypatch):
+    texts, draw, words = random_texts(14, 60)
+    index = grown(spark, texts, [30], range_docs=4)
+    queries = [" ".join(draw.choices(words, k=3)) for _ in range(9)]
+    want = found(spark, index, queries, 3, lexical.FLOORED)
+    monkeypatch.setattr(lexical, "localised", lambda df, max_rows=0: (df, None))
+    monkeypatch.setattr(lexical, "fits", lambda df: False)
+    monkeypatch.setattr(lexical, "QUERY_PART", 2)
+    assert found(spark, index, queries, 3, lexical.FLOORED) == want

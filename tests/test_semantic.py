@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from placeseek.functions import values as vx
 from placeseek.operators import semantic
+from placeseek.session import work_path
 from placeseek.sources import vectors as vs
 
 
@@ -113,3 +114,58 @@ def test_both_store_layouts(spark, tmp_path):
     blocks = vs.pack_blocks(vectors, rows=4)
     assert blocks.count() == 3
     assert sorted((r[0], list(r[1])) for r in vs.unpack_blocks(blocks).collect()) == want
+
+
+def clustered(seed, n=600, dim=8):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, dim)) * 10
+    stored = centres[rng.integers(0, 12, n)] + rng.normal(size=(n, dim)) * 0.2
+    stored[: n // 3] = stored[5]  # a third are copies
+    return stored, np.vstack([stored[5], stored[-1], centres[:6] + 0.1, rng.normal(size=(3, dim))])
+
+
+@pytest.mark.parametrize("k", [1, 9, 700])
+def test_nearest_by_pivots(spark, k):
+    stored, queries = clustered(8)
+    index = semantic.build_pivots(frame(spark, "id", stored).repartition(5), work_path(spark, "pivots"), 16, 20)
+    asked = frame(spark, "query_id", queries)
+    same(rows_of(semantic.nearest(index, asked, k)), brute(stored, queries, k))
+    if k == 9:
+        assert semantic.skipped_share(index, asked, k) > 0.5
+
+
+def test_nearest_by_pivots_in_blocks_and_scans(spark, monkeypatch):
+    monkeypatch.setattr(semantic, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(semantic, "PUSHED_UNITS", 2)
+    stored, queries = clustered(9, 200)
+    index = semantic.build_pivots(frame(spark, "id", stored).repartition(5), work_path(spark, "pivots"), 6, 10)
+    same(rows_of(semantic.nearest(index, frame(spark, "query_id", queries), 5)), brute(stored, queries, 5))
+
+
+@pytest.mark.parametrize("pivots", [True, False])
+def test_nearest_inside_a_filtered_set(spark, pivots):
+    stored, queries = clustered(10, 300)
+    rows = frame(spark, "id", stored).repartition(5)
+    searched = semantic.build_pivots(rows, work_path(spark, "pivots"), 8, 10) if pivots else rows
+    allowed = [i for i in range(300) if i % 11 == 2]
+    frame_of = spark.createDataFrame([(i,) for i in [*allowed, 9999]], "id long")
+    got = rows_of(semantic.nearest(searched, frame(spark, "query_id", queries), 4, frame_of))
+    want = [(q, i, d) for q, _, i, d in brute(stored, queries, 300) if i in allowed]
+    for q in range(len(queries)):
+        mine = [w for w in want if w[0] == q][:4]
+        assert [r[2] for r in got if r[0] == q] == [w[1] for w in mine]
+    assert semantic.nearest(searched, frame(spark, "query_id", queries), 4, frame_of.limit(0)).count() == 0
+
+
+def test_pivots_of_an_empty_table(spark):
+    index = semantic.build_pivots(frame(spark, "id", [[1.0]]).limit(0), work_path(spark, "pivots"))
+    assert semantic.nearest(index, frame(spark, "query_id", [[1.0]]), 3).count() == 0
+
+
+def test_large_lengths_lose_no_neighbour(spark):
+    rng = np.random.default_rng(3)
+    stored = rng.normal(size=(120, 4)) + 1e6
+    index = semantic.build_pivots(frame(spark, "id", stored), work_path(spark, "pivots"), 8, 6)
+    got = rows_of(semantic.nearest(index, frame(spark, "query_id", stored[:5]), 3))
+    plain = rows_of(semantic.nearest(frame(spark, "id", stored), frame(spark, "query_id", stored[:5]), 3))
+    assert got == plain

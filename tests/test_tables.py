@@ -110,7 +110,9 @@ def test_json_parts_hold_exactly_their_rows(spark, tmp_path):
 
 def test_place_names(spark):
     names = spark.createDataFrame(
-        [("Paris", 1.0, 2.0), ("France", 3.0, 4.0), ("New York", 5.0, 6.0), ("York", 7.0, 8.0), ("Texas", 9.0, 9.0)],
+        [("Paris", 1.0, 2.0), ("France", 3.0, 4.0), ("New York", 5.0, 6.0), ("York", 7.0, 8.0), ("Texas", 9.0, 9.0),
+         ("Isle of Man", 1.0, 1.0), ("The Old Town of the Port and the Hill", 2.0, 2.0), ("santa  cruz de la sierra", 3.0, 3.0),
+         ("", 0.0, 0.0), (None, 0.0, 0.0)],
         "name string, lat double, lon double",
     )
     cases = [
@@ -121,6 +123,10 @@ def test_place_names(spark):
         (5, "No", "none", None),
         (6, "York then Paris", "", "York"),
         (7, None, "Texas", "Texas"),
+        (8, "On the Isle of Man by sea", "", "Isle of Man"),
+        (9, "in The Old Town of the Port and the Hill, Texas", "", "The Old Town of the Port and the Hill"),
+        (10, "the old town of Paris", "", "Paris"),
+        (11, "Santa Cruz de la Sierra", "", "Santa Cruz de la Sierra"),
     ]
     df = spark.createDataFrame([c[:3] for c in cases], "id long, page_title string, page_description string")
     got = {r["id"]: r["location_name"] for r in gazetteer.place_names(df, names, ["id"]).collect()}
