@@ -8,14 +8,17 @@ ends as sentence ends, and with lines joined, for sentences that are wrapped.
 
 Null, empty and other texts give no row; repeated rows give one; an empty table gives none;
 other columns are not read. A licence named several times gives one row per rule, with the
-place of its first match (sentence number, from 0, in the reading that found it first).
+place of its first match (sentence number, from 0, in the reading that found it first). Where one rule
+begins with all of another, and both match from the same sentence, only the longer one counts. A grant or
+an SPDX expression of several licences ("MIT OR Apache-2.0") names each of them.
 """
 
 from __future__ import annotations
 
+import re
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 GAP = 3
@@ -86,6 +89,21 @@ VERB = r"^(?:dual )?(?:licensed|released|distributed|published|available|made av
 TRIGGERS = ("licen", "rights reserved", "permission", "redistribut", "warrant", "spdx", "public domain", "gplv", "under", "conditions")
 
 
+GRANT, TAG = "licensed under ", "spdx-license-identifier "
+# Endings of SPDX identifiers, which stand for the licence or its later versions.
+VERSIONS = {"-only": "", "-or-later": "-or-later", "+": "-or-later"}
+# What normalisation replaces, in order.
+STEPS = (
+    ("licence", "license"),
+    # A name or definition in brackets behind the licence.
+    (r"\((?:the [\"“]?license[\"”]?|[a-z0-9.+\-]{2,20})\)", " "),
+    (r"[^a-z0-9.+\-]+", " "),
+    (r"(?<![^ ])[.+\-]+|[.\-]+(?![^ ])|(?<![^ ])v\.(?= )|(?<=[^0-9])\+(?![^ ])", ""),
+    (r" +", " "),
+    (r"^ | $", ""),
+)
+
+
 def known() -> dict[str, str]:
     """Normalised sentence -> identifier."""
     grants = {
@@ -94,29 +112,54 @@ def known() -> dict[str, str]:
         for name in names
         for kind, text in (("grant", f"licensed under {name}"), ("spdx", f"spdx-license-identifier {name}"))
     }
-    return grants | {text: key for key, text in SENTENCES.items()}
+    versions = {
+        f"{TAG}{spdx.lower()}{ending}": f"spdx:{spdx}{name}"
+        for spdx in NAMES if "GPL" in spdx for ending, name in VERSIONS.items()
+    }
+    return grants | versions | {text: key for key, text in SENTENCES.items()}
 
 
 def rules() -> list[tuple[str, str, list[str]]]:
     named = [(f"{kind}-{spdx}", spdx, [f"{kind}:{spdx}"]) for spdx in NAMES for kind in ("grant", "spdx")]
-    return TEXT_RULES + named
+    later = [(f"spdx-{x}-or-later", f"{x}-or-later", [f"spdx:{x}-or-later"]) for x in NAMES if "GPL" in x]
+    return TEXT_RULES + named + later
+
+
+def longer_rules() -> dict[str, list[str]]:
+    """Rules that begin with all of another one, by that one."""
+    return {
+        short: more for short, _, ids in rules()
+        if (more := [name for name, _, other in rules() if len(other) > len(ids) and other[: len(ids)] == ids])
+    }
 
 
 def sentences(text: Column, wrapped: bool) -> Column:
     """Normalised sentences; ``wrapped`` joins lines, otherwise lines end sentences."""
     # A colon ends a sentence only at the end of a line: identifiers follow one on their line.
-    border = r"(?<=[.!?;])\s+|(?<=:)\s*\n\s*" if wrapped else r"(?<=[.!?;])\s+|\s*\n\s*"
+    # The dot of "v. 2.0" ends none.
+    dot = r"(?<=[.!?;])(?<![ ,(]v\.)\s+"
+    border = rf"{dot}|(?<=:)\s*\n\s*" if wrapped else rf"{dot}|\s*\n\s*"
 
     def normal(s: Column) -> Column:
-        s = F.regexp_replace(F.lower(s), "licence", "license")
-        s = F.trim(F.regexp_replace(s, r"[^a-z0-9.+\-]+", " "))
-        s = F.trim(F.regexp_replace(s, r"(?<![^ ])[.+\-]+|[.+\-]+(?![^ ])|v\.(?= )", ""))
+        s = F.lower(s)
+        for pattern, by in STEPS:
+            s = F.regexp_replace(s, pattern, by)
         # The subject goes only with its verb: other known sentences begin with one, too.
-        return F.regexp_replace(s, f"{SUBJECT}?{VERB[1:]}", "licensed under ")
+        return F.regexp_replace(s, f"{SUBJECT}?{VERB[1:]}", GRANT)
 
     return F.transform(F.split(text, border), normal)
 
 
+def parts(sentence: Column, table: Column) -> Column:
+    """A known sentence itself, else the sentences that a grant or tag of several licences stands for."""
+    several = sentence.rlike(f"^(?:{GRANT}|{TAG})")
+    head = F.when(sentence.startswith(GRANT), F.lit(GRANT)).otherwise(F.lit(TAG))
+    names = F.split(F.regexp_replace(sentence, f"^(?:{GRANT}|{TAG})(?:either |both )?", ""), r" (?:and|or|and or)(?: the)? ")
+    return F.when(F.try_element_at(table, sentence).isNotNull() | ~several, F.array(sentence)).otherwise(
+        F.transform(names, lambda name: F.concat(head, name))
+    )
+
+
 def recognised(docs: DataFrame, gap: int = GAP) -> DataFrame:
     """(doc_id, license_id, rule_id, first_sentence, n_sentences)."""
     texts = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -128,7 +171,14 @@ def recognised(docs: DataFrame, gap: int = GAP) -> DataFrame:
     )
     # Hits only; the list of a text is as long as its licence sentences.
     hits = F.filter(
-        F.transform("s", lambda x, at: F.struct(at.alias("at"), F.try_element_at(table, x).alias("id"))),
+        F.flatten(
+            F.transform(
+                "s",
+                lambda x, at: F.transform(
+                    parts(x, table), lambda p: F.struct(at.alias("at"), F.try_element_at(table, p).alias("id"))
+                ),
+            )
+        ),
         lambda h: h["id"].isNotNull(),
     )
     read = texts.select("doc_id", F.explode(readings).alias("r")).select("doc_id", "r.reading", F.col("r.s").alias("s"))
@@ -162,13 +212,28 @@ def recognised(docs: DataFrame, gap: int = GAP) -> DataFrame:
         )
 
     state = tried.select("doc_id", "reading", "rule", F.aggregate("hits", start, advance).alias("state"))
-    return (
+    longer = F.create_map(*[x for short, more in longer_rules().items() for x in (F.lit(short), F.array(*map(F.lit, more)))])
+    matched = (
         state.filter(F.col("state.found") >= 0)
         .groupBy("doc_id", F.col("rule.license_id").alias("license_id"), F.col("rule.rule_id").alias("rule_id"))
         .agg(F.min(F.struct("reading", "state.found")).alias("m"), F.first(F.size("rule.ids")).alias("n_sentences"))
+    )
+    # As many rows as rules at most meet here.
+    beside = F.collect_set("rule_id").over(Window.partitionBy("doc_id", "m"))
+    covered = F.arrays_overlap(F.try_element_at(longer, F.col("rule_id")), beside)
+    return (
+        matched.withColumn("covered", F.coalesce(covered, F.lit(False))).filter(~F.col("covered"))
         .select("doc_id", "license_id", "rule_id", F.col("m.found").alias("first_sentence"), "n_sentences")
     )
 
 
 def known_normalised() -> dict[str, str]:
-    return known()
+    """The known sentences as the sentences of texts are normalised."""
+
+    def normal(text: str) -> str:
+        text = text.lower()
+        for pattern, by in STEPS:
+            text = re.sub(pattern, by, text)
+        return text
+
+    return {normal(text): key for text, key in known().items()}

@@ -106,13 +106,14 @@ def dropped_lines(
 
 
 def deduplicated(docs: DataFrame, **params) -> DataFrame:
-    """``docs`` without the recurring lines, plus ``n_lines`` and ``n_dropped``."""
+    """``docs`` without the recurring lines, plus ``n_lines`` and ``n_dropped``, in place of columns of those names."""
     drops = dropped_lines(docs, **params).select(F.col("doc_id").alias("__doc_id"), F.col("drop").alias("__drop"))
     joined = docs.join(drops.hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col("__doc_id"), "left")
     lines = F.split("text", "\n")
     kept = F.filter(lines, lambda line, at: ~F.array_contains("__drop", at))
     text = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    others = [F.col(c) if c != "text" else text.alias("text") for c in docs.columns]
+    own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    others = [F.col(c) if c != "text" else text.alias("text") for c in own]
     n_lines = F.coalesce(F.size(lines), F.lit(0))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(n_lines)
     return joined.select(

@@ -9,7 +9,6 @@ encoded whole by the tokenizer.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 import numpy as np
@@ -31,8 +30,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        markers = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.marker = re.compile("|".join(map(re.escape, markers))) if markers else None
+        self.markers = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.entries = cache_entries
         self.led: dict[str, bytes | None] = {}  # pieces behind a blank
         self.bare: dict[str, bytes | None] = {}  # pieces at the start of a line
@@ -86,7 +84,7 @@ class Encoder:
         led: set[str] = set()
         bare: set[str] = set()
         for text in texts:
-            if text and self.marker and self.marker.search(text):
+            if text and any(marker in text for marker in self.markers):
                 cut.append(None)
                 continue
             lines = [line.split(" ") for line in text.split("\n")] if text else []

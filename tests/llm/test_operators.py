@@ -516,3 +516,49 @@ def test_marker_strings_are_markers_as_in_the_plain_call(spark):
     texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x <|endoftext|", "plain words here"]
     got = [np.frombuffer(x, "<u4").tolist() for x in tokens.encoder(tokens.default_path()).encode(texts)]
     assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+# -- licences and lines ----------------------------------------------------------------------
+
+
+def test_longer_rules_versions_and_expressions(spark):
+    bsd2 = (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met:\n1. Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer.\n2. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution.\n"
+    )
+    bsd3 = bsd2 + (
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.\n"
+    )
+    cases = [
+        (bsd2, {"BSD-2-Clause"}), (bsd3, {"BSD-3-Clause"}),
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", {"MPL-2.0"}),
+        ('Licensed under the Apache License, Version 2.0 (the "License")', {"Apache-2.0"}),
+        ("Licensed under MIT or Apache-2.0.", {"MIT", "Apache-2.0"}),
+        ("Released under the MIT License (MIT).", {"MIT"}),
+        ("SPDX-License-Identifier: MIT OR Apache-2.0", {"MIT", "Apache-2.0"}),
+        ("// SPDX-License-Identifier: GPL-3.0-or-later\nint x;", {"GPL-3.0-or-later"}),
+        ("SPDX-License-Identifier: GPL-2.0+", {"GPL-2.0-or-later"}),
+        ("SPDX-License-Identifier: LGPL-2.1-only", {"LGPL-2.1"}),
+        ("He was licensed under or over the mit license bridge.", set()),
+    ]
+    docs = spark.createDataFrame(
+        [(k, text, "m", "r") for k, (text, _) in enumerate(cases)], "doc_id long, text string, m string, rule_id string"
+    )
+    got = defaultdict(set)
+    for row in licenses.recognised(docs).collect():
+        got[row.doc_id].add(row.license_id)
+    assert [got[k] for k in range(len(cases))] == [want for _, want in cases]
+
+
+def test_lines_beside_columns_of_the_same_names(spark):
+    line = "this line stands in every one of them"
+    rows = [(k, f"own words {k}\n{line}", "x", "y", k) for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines string, n_dropped string, template long")
+    got = line_templates.deduplicated(docs)
+    assert sorted(got.columns) == sorted(["doc_id", "text", "template", "n_lines", "n_dropped"])
+    assert sum(r.n_dropped for r in got.collect()) == 5
+    assert line_templates.deduplicated(docs.limit(0)).count() == 0
