@@ -2,7 +2,8 @@
 
 Toxic documents go, recurring lines are dropped, one document of each group of near copies
 stays (the one with the smallest doc_id), documents that hold benchmark items go, and what is
-left is packed into sequences. All stages but the last return the columns of documents.
+left is packed into sequences. All stages but the last return the columns of documents, extra ones
+included. An empty table passes through every stage as an empty table.
 """
 
 from __future__ import annotations
@@ -16,27 +17,37 @@ from placeseek.session import work_path
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifiers reject go; null and empty texts have no words to be rejected by."""
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = line_templates.deduplicated(docs).select(*docs.columns)
+    """Recurring lines go from the texts; null texts and rows without doc_id stay as they are."""
+    # Columns of the operator's own names are set aside.
+    aside = {c: f"__{c}" for c in ("n_lines", "n_dropped") if c in docs.columns}
+    kept = line_templates.deduplicated(docs.withColumnsRenamed(aside))
+    kept = kept.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.char_length("text").cast("long"))
     return kept
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # Documents without words are in no group and stay.
+    """One document of each group of near copies stays, the one with the smallest doc_id.
+
+    Documents without words are in no group and stay; rows without doc_id name no document and go.
+    """
     kept = ngram_join.linked(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("__kept"))
     return docs.join(kept.hint("shuffle_hash"), F.col("doc_id") == F.col("__kept"), "left_semi")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go; without items or words nothing does."""
     return decontamination.without_benchmark(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per piece of a document; a document without text is its end mark alone."""
     return packing.packed(docs, tokens.default_path())
 
 
