@@ -236,10 +236,14 @@ def seen_units(known):
 
 def units_within(block: tuple, pivots: np.ndarray, units: pd.DataFrame) -> list[int]:
     """Numbers of the units that some query of a block has still to look at."""
-    _, queries, _, floor = block
+    ids, queries, looks, floor = block
     wanted = np.zeros(len(units), dtype=bool)
+    place = pd.Series(np.arange(len(ids)), index=ids)
+    seen = place.loc[looks["query_id"].to_numpy()].to_numpy(), units["unit"].searchsorted(looks["unit"].to_numpy())
     for part in _few(queries):
         within = least_squares(distances(queries[part], pivots), queries[part], units) <= floor[part, None]
+        mine = (seen[0] >= part.start) & (seen[0] < part.stop)
+        within[seen[0][mine] - part.start, seen[1][mine]] = False
         wanted |= within.any(axis=0)
     return units["unit"].to_numpy()[wanted].tolist()
 
@@ -301,11 +305,11 @@ def best_of_range(k: int, avgdl: float, k1: float, b: float, digits: int):
         if home["bits"] is not None:
             free = np.unpackbits(np.frombuffer(home["bits"], dtype=np.uint8), bitorder="little")[: len(ids)] == 1
         blocks: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-        for term, classes in zip(left["term"][~plain], left["classes"][~plain], strict=True):
-            places = np.concatenate([c["places"] for c in classes])
-            tf = np.repeat([float(c["tf"]) for c in classes], [len(c["places"]) for c in classes])
+        for term, *lists in left.loc[~plain, ["term", "tfs", "sizes", "places"]].itertuples(index=False):
+            tfs, sizes, places = (np.asarray(x) for x in lists)
+            tf = np.repeat(tfs.astype(np.float64), sizes)
             blocks[term] = places, tf * (k1 + 1) / (tf + damp[places])
-        out = []
+        asked, found, scores = [], [], []
         for query, floor, terms, weights in zip(
             right["query_id"], right["floor"], right["terms"], right["weights"], strict=True
         ):
@@ -320,8 +324,11 @@ def best_of_range(k: int, avgdl: float, k1: float, b: float, digits: int):
                 least = np.partition(total[at], -k)[-k]
                 at = at[total[at] >= least]
             at = at[np.lexsort((ids[at], -total[at]))[:k]]
-            out.append(pd.DataFrame({"query_id": query, "doc_id": ids[at], "score": total[at]}))
-        return pd.concat(out) if out else none
+            asked.append(np.full(len(at), query))
+            found.append(ids[at])
+            scores.append(total[at])
+        columns = [np.concatenate(c) for c in (asked, found, scores)]
+        return pd.DataFrame(dict(zip(("query_id", "doc_id", "score"), columns, strict=True)))
 
     return run
 

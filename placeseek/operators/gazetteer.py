@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from placeseek.functions import text as tx
 from placeseek.session import stored
-from placeseek.sizing import fits, join_checked
+from placeseek.sizing import fits, join_checked, localised
 
 # A word, or one punctuation mark: marks separate words that would otherwise touch.
 WORD_OR_MARK = rf"{tx.WORD}|[^\p{{L}}\p{{N}}_{tx.SPACE_SET}]"
@@ -63,9 +63,12 @@ def place_names(posts: DataFrame, gazetteer: DataFrame, keys: list[str]) -> Data
     word by word while a name goes on, so most places are left after one look-up. The trie is sent
     to every task when it is small, and is otherwise shuffled by prefix.
     """
-    trie = stored(name_trie(gazetteer), "names")
-    deepest = trie.agg(F.max(F.size(F.split("prefix", " ")))).first()[0] or 1
-    small = fits(trie)
+    trie, rows = localised(name_trie(gazetteer))
+    if rows is None:
+        trie = stored(trie, "names")
+        deepest, small = trie.agg(F.max(F.size(F.split("prefix", " ")))).first()[0], fits(trie)
+    else:
+        deepest, small = max((r["prefix"].count(" ") + 1 for r in rows), default=1), True
     walked = _starts(posts, keys, deepest)
     for depth in range(1, deepest + 1):
         key, ends = f"_k{depth}", f"_e{depth}"

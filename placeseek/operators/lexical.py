@@ -45,6 +45,8 @@ RANGE_DOCS = 4_096
 QUERY_PART = 1_024
 # Segments of like size that are merged together.
 FAN = 8
+# Ranges per query that are scored for its threshold; k of them if that is more.
+FIRST_LOOK = 32
 
 FLOORED = "floored"
 SMOOTHED = "smoothed"
@@ -104,12 +106,10 @@ def bucket_of(term, buckets: int):
 # -- building ---------------------------------------------------------------------------
 
 
-def _classes(rows: DataFrame) -> DataFrame:
-    """Blocks from rows (bucket, term, range, tf, dl, places) with places of one frequency."""
-    by_tf = rows.groupBy("bucket", "range", "term", "tf").agg(
-        F.min("dl").alias("dl"), F.flatten(F.collect_list("places")).alias("places")
-    )
-    whole = F.sort_array(F.collect_list(F.struct("tf", "dl", F.sort_array("places").alias("places"))))
+def _classes(rows: DataFrame, places: Column) -> DataFrame:
+    """Blocks from rows (bucket, term, range, tf, dl); ``places`` brings those of one frequency together."""
+    by_tf = rows.groupBy("bucket", "range", "term", "tf").agg(F.min("dl").alias("dl"), places.alias("places"))
+    whole = F.collect_list(F.struct("tf", "dl", "places"))
     return by_tf.groupBy("bucket", "range", "term").agg(whole.alias("classes"))
 
 
@@ -145,12 +145,12 @@ def _build_segment(docs: DataFrame, path: str, segment: int, text: str, range_do
         forward.select("range", "place", "dl", F.inline_outer("bag")).filter(F.col("term").isNotNull())
         .select(
             bucket_of("term", buckets).alias("bucket"), "range", "term",
-            F.col("tf").cast("int").alias("tf"), "dl", F.array("place").alias("places"),
+            F.col("tf").cast("int").alias("tf"), "dl", "place",
         )
         # Blocks of one term are dealt over many tasks by their range.
         .repartition(wanted, "bucket", "range")
     )
-    _write_segment(path, segment, _classes(postings), ranges, None)
+    _write_segment(path, segment, _classes(postings, F.collect_list("place")), ranges, None)
 
 
 def _versions(spark: SparkSession, path: str) -> DataFrame | None:
@@ -267,7 +267,7 @@ def merge_segments(spark: SparkSession, path: str, chosen: list[int], range_docs
         "bucket", "range", "term", "tf", "dl",
         F.transform("places", lambda p: p + F.col("_shift")).alias("places"),
     ).repartition(parallelism(spark), "bucket", "range")
-    _write_segment(path, segment, _classes(classes), new_ranges, _terms(spark, path, chosen))
+    _write_segment(path, segment, _classes(classes, F.flatten(F.collect_list("places"))), new_ranges, _terms(spark, path, chosen))
     segments = {s: v for s, v in index.segments.items() if s not in chosen}
     segments[segment] = tuple(sum(index.segments[s][k] for s in chosen) for k in (0, 1))
     _commit(spark, path, segments, index.version + 1, index.buckets)
@@ -386,18 +386,25 @@ def _bounds(
 
 def _scored(
     index: LexicalIndex, heads: DataFrame, wanted: DataFrame, weights: DataFrame, rows: list | None, small: bool,
-    k: int, parts: int, k1: float, b: float,
+    k: int, parts: int, k1: float, b: float, whole: bool = False,
 ) -> DataFrame:
     """(query_id, doc_id, score): the k best documents of each wanted (query_id, segment, range).
 
     Blocks of a wanted range meet in one task, once for ``QUERY_PART`` queries; a range is bounded.
+    ``whole`` says that all of the few ranges in ``heads`` are wanted.
     """
     part = F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int")
     wanted = wanted.withColumn("part", part)
-    live = wanted.select(*WHERE, "part").distinct()
-    live_fits = fits(live)
-    places = join_checked(index.ranges.select(*WHERE, "doc_ids", "dls"), heads.select(*WHERE, "bits"), WHERE, small_fits=False)
-    blocks = _matching(index.blocks, rows).select("term", *WHERE, "classes")
+    if whole:
+        live = heads.select(*WHERE, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    else:
+        live = wanted.select(*WHERE, "part").distinct()
+    live_fits = whole or fits(live)
+    places = join_checked(index.ranges.select(*WHERE, "doc_ids", "dls"), heads.select(*WHERE, "bits"), WHERE, small_fits=whole)
+    blocks = _matching(index.blocks, rows).select(
+        "term", *WHERE, F.col("classes.tf").alias("tfs"), F.transform("classes.places", F.size).alias("sizes"),
+        F.flatten("classes.places").alias("places"),
+    )
     if small:
         blocks = blocks.join(F.broadcast(weights.select("term").distinct()), "term", "left_semi")
 
@@ -405,12 +412,14 @@ def _scored(
         return join_checked(table, live, WHERE, small_fits=live_fits)
 
     none = F.lit(None)
+    lists = none.cast("array<int>")
     left = shared(blocks).select(
-        *WHERE, "part", "term", "classes", none.cast("array<long>").alias("doc_ids"), none.cast("array<int>").alias("dls"),
+        *WHERE, "part", "term", "tfs", "sizes", "places", none.cast("array<long>").alias("doc_ids"), lists.alias("dls"),
         none.cast("binary").alias("bits"),
     ).unionByName(
         shared(places).select(
-            *WHERE, "part", none.cast("string").alias("term"), none.cast(f"array<{CLASS}>").alias("classes"), "doc_ids", "dls", "bits"
+            *WHERE, "part", none.cast("string").alias("term"), *[lists.alias(c) for c in ("tfs", "sizes", "places")],
+            "doc_ids", "dls", "bits",
         )
     )
     terms = weights.groupBy("query_id").agg(
@@ -454,19 +463,20 @@ def search(
     else:
         weights = stored(weights, "weights")
     heads = _heads(index, allowed)
-    few = heads.limit(k + 1).count() <= k
-    if few:
-        # As many ranges as hits: the first look is at all of them.
+    # Each range has a document, so k ranges hold at least k.
+    look = max(k, FIRST_LOOK)
+    if heads.limit(look + 1).count() <= look:
+        # The first look is at all of them.
+        heads, _ = localised(heads, look)
         ids = asked.select("query_id").distinct()
-        wanted = heads.select(*WHERE).join(F.broadcast(ids) if small else ids).withColumn("floor", F.lit(None).cast("double"))
-        scores = _scored(index, heads, wanted, weights, rows, small, k, parts, k1, b)
+        wanted = ids.join(F.broadcast(heads.select(*WHERE))).withColumn("floor", F.lit(None).cast("double"))
+        scores = _scored(index, heads, wanted, weights, rows, small, k, parts, k1, b, whole=True)
         return rank(scores, k).select("query_id", "rank", "doc_id", "score")
     negative = form == FLOORED and index.mean_idf < 0
     bounds = stored(_bounds(index, heads, asked, weights, rows, small, k, negative, k1, b), "bounds")
     best = [F.desc("bound"), F.asc("least_id"), F.asc("segment"), F.asc("range")]
     chosen = stored(
-        # Each range has a document, so k ranges hold at least k.
-        top_k(bounds.withColumn("_at", F.struct(*WHERE)), ["query_id"], best, k, "_at", rank="_look").select("query_id", *WHERE),
+        top_k(bounds.withColumn("_at", F.struct(*WHERE)), ["query_id"], best, look, "_at", rank="_look").select("query_id", *WHERE),
         "first",
     )
     seen = stored(

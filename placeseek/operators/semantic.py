@@ -18,7 +18,7 @@ from placeseek.functions import values as vx
 from placeseek.operators.positions import with_running_total
 from placeseek.operators.topk import top_k
 from placeseek.session import stored
-from placeseek.sizing import join_checked, one_of
+from placeseek.sizing import join_checked, localised, one_of
 
 # Query vectors that are worked on together.
 QUERY_BLOCK = 1024
@@ -177,18 +177,19 @@ def build_pivots(
     return PivotIndex(rows.select("unit", "id", "embedding"), chosen, units.orderBy("unit").toPandas())
 
 
-def _query_blocks(queries: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _query_blocks(queries: DataFrame, rows: list | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Query ids and vectors in blocks of about ``QUERY_BLOCK`` rows; one block at a time is in the driver."""
-    count = queries.count()
+    count = queries.count() if rows is None else len(rows)
     parts = 1 if count <= QUERY_BLOCK else -(-2 * count // QUERY_BLOCK)
     for part in range(parts):
-        block = queries.select("query_id", "embedding")
-        if parts > 1:
-            block = block.filter(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part)
-        rows = block.filter("embedding is not null").collect()
-        if rows:
-            ids = np.array([r["query_id"] for r in rows], dtype=np.int64)
-            yield ids, np.array([r["embedding"] for r in rows], dtype=np.float64)
+        if rows is not None and parts == 1:
+            block = rows
+        else:
+            block = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part).collect()
+        block = [r for r in block if r["embedding"] is not None]
+        if block:
+            ids = np.array([r["query_id"] for r in block], dtype=np.int64)
+            yield ids, np.array([r["embedding"] for r in block], dtype=np.float64)
 
 
 FOUND = "query_id long, id long, distance double"
@@ -213,13 +214,17 @@ def nearest(
     :class:`PivotIndex` skips the units that cannot hold a hit.
     """
     spark = queries.sparkSession
-    asked = stored(queries.select("query_id", F.col("embedding").cast("array<double>").alias("embedding")), "asked")
+    asked, small = localised(
+        queries.select("query_id", F.col("embedding").cast("array<double>").alias("embedding")), QUERY_BLOCK
+    )
+    if small is None:
+        asked = stored(asked, "asked")
     if isinstance(vectors, PivotIndex):
-        return _nearest_by_pivots(vectors, asked, k, allowed)
+        return _nearest_by_pivots(vectors, asked, small, k, allowed)
     rows = vectors.select(F.col("id").cast("long"), "embedding").filter(F.col("embedding").isNotNull())
     if allowed is not None:
         rows = join_checked(rows, allowed.select("id").distinct(), "id", "left_semi")
-    blocks = [spark.sparkContext.broadcast(b) for b in _query_blocks(asked)]
+    blocks = [spark.sparkContext.broadcast(b) for b in _query_blocks(asked, small)]
     if not blocks:
         return _nothing(spark)
     return _ranked(rows.mapInArrow(kernels.nearest_in_batches(blocks, k), FOUND), k)
@@ -231,7 +236,9 @@ def _looks(index: PivotIndex, units: pd.DataFrame, asked: DataFrame, k: int) ->
     return asked.filter("embedding is not null").mapInArrow(kernels.first_units(known, k), "query_id long, unit long")
 
 
-def _nearest_by_pivots(index: PivotIndex, asked: DataFrame, k: int, allowed: DataFrame | None) -> DataFrame:
+def _nearest_by_pivots(
+    index: PivotIndex, asked: DataFrame, small: list | None, k: int, allowed: DataFrame | None
+) -> DataFrame:
     spark = asked.sparkSession
     rows, units = index.rows, index.units
     if allowed is not None:
@@ -241,17 +248,22 @@ def _nearest_by_pivots(index: PivotIndex, asked: DataFrame, k: int, allowed: Dat
         units = units.drop(columns="n").merge(held, on="unit")
     if not len(units) or not len(index.pivots):
         return _nothing(spark)
-    firsts = stored(_looks(index, units, asked, k), "looks")
-    looked = [r.unit for r in firsts.select("unit").distinct().collect()]  # no more than units
-    blocks = []
-    for ids, matrix in _query_blocks(asked):
-        mine = firsts.filter(one_of("query_id", ids.tolist())).toPandas()
+    firsts = _looks(index, units, asked, k)
+    if small is None:
+        firsts = stored(firsts, "looks")
+    blocks, looked = [], set()
+    for ids, matrix in _query_blocks(asked, small):
+        mine = (firsts if small is not None else firsts.filter(one_of("query_id", ids.tolist()))).toPandas()
+        looked.update(mine["unit"].tolist())  # no more than units
         blocks.append(spark.sparkContext.broadcast((ids, matrix, mine, None)))
     if not blocks:
         return _nothing(spark)
     meta = spark.sparkContext.broadcast((index.pivots, units))
-    some = rows.filter(one_of("unit", looked)) if len(looked) <= PUSHED_UNITS else rows
-    near = stored(_ranked(some.mapInArrow(kernels.nearest_in_units(blocks, meta, k, True), FOUND), k), "near")
+    some = rows.filter(one_of("unit", sorted(looked))) if len(looked) <= PUSHED_UNITS else rows
+    near = _ranked(some.mapInArrow(kernels.nearest_in_units(blocks, meta, k, True), FOUND), k)
+    near, _ = localised(near) if small is not None else (near, None)
+    if small is None:
+        near = stored(near, "near")
     last = near.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("floor"))
     floors = last.filter(F.col("n") >= k).select("query_id", "floor").toPandas()  # two numbers a query
     closer = []

@@ -108,72 +108,102 @@ def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> dict[str, list[float]]:
+def _sketch(value: Column, share: float, margin: float) -> Column:
+    """[value surely at or before the share, value near it, value surely at or after it], by a mergeable sketch."""
+    near = [min(1.0, max(0.0, share + side * margin)) for side in (-1, 0, 1)]
+    return F.percentile_approx(value, near, ACCURACY)
+
+
+def _sketches(columns: Sequence[str], probabilities: Sequence[float]) -> list[Column]:
+    # The sketch may be off by a share of 1 / ACCURACY, and ranks are a little off the probability.
+    return [_sketch(F.col(c), p, 3 / ACCURACY) for c in columns for p in probabilities]
+
+
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], ends: Sequence | None = None
+) -> dict[str, list[float]]:
     """Interpolated quantiles of numeric columns, exactly, without sorting them.
 
-    A mergeable sketch brackets the ranks; the next pass counts what lies below and inside each
-    bracket; brackets with more than ``LEFT_VALUES`` distinct values get a sketch of their own. Every pass is one
-    aggregation over the columns, and a bracket shrinks to a few thousandths each time.
+    A sketch brackets each rank and guesses its value; the next pass counts what lies below, inside and
+    at the guess, which either is the value or cuts the bracket. Brackets with at most
+    ``LEFT_VALUES`` distinct values are counted value by value. Every pass is one aggregation over the
+    columns; a bracket shrinks to a few thousandths each time, and a very frequent value is found as a
+    guess. ``ends`` are counts, minima, maxima and sketches of the columns, where a first pass has them.
     """
-    ends = df.agg(*[F.count(c) for c in columns], *[F.min(c) for c in columns], *[F.max(c) for c in columns]).first()
     m = len(columns)
-    found: dict[tuple[int, float], list[float | None]] = {}
-    # (column, probability) to (lowest rank, highest rank, low, high, values below, inside, distinct inside).
-    open_to: dict[tuple[int, float], tuple] = {}
+    if ends is None:
+        parts = [f(c) for f in (F.count, F.min, F.max) for c in columns] + _sketches(columns, probabilities)
+        ends = df.agg(*[part.alias(f"_{k}") for k, part in enumerate(parts)]).first()
+    found: dict[tuple[int, int], float] = {}
+    # (column, rank) to (low, high, values below, inside, distinct inside), and to a sketch.
+    open_to: dict[tuple[int, int], tuple] = {}
+    guesses: dict[tuple[int, int], Sequence[float]] = {}
     for i in range(m):
-        for p in probabilities:
-            if ends[i]:
-                exact = p * (ends[i] - 1)
-                open_to[i, p] = math.floor(exact), math.ceil(exact), ends[m + i], ends[2 * m + i], 0, ends[i], ends[i]
-            else:
-                found[i, p] = [None, None]
+        for k, p in enumerate(probabilities if ends[i] else ()):
+            for rank in (math.floor(p * (ends[i] - 1)), math.ceil(p * (ends[i] - 1))):
+                open_to[i, rank] = ends[m + i], ends[2 * m + i], 0, ends[i], ends[i]
+                guesses[i, rank] = ends[3 * m + i * len(probabilities) + k]
 
     def inside(i: int, low: float, high: float) -> Column:
         return F.col(columns[i]).between(low, high)
 
     while open_to:
-        for key, (_, _, low, high, *_) in list(open_to.items()):
+        for key, (low, high, *_) in list(open_to.items()):
             if low == high:
-                found[key] = [low, low]
+                found[key] = low
                 del open_to[key]
-        if not open_to:
-            break
-        small = {k: v for k, v in open_to.items() if v[6] <= LEFT_VALUES}
+        small = {key: v for key, v in open_to.items() if min(v[3:]) <= LEFT_VALUES}
         if small:
             cells = [
-                F.struct(F.lit(k).alias("k"), F.when(inside(i, v[2], v[3]), F.col(columns[i])).alias("v"))
-                for k, ((i, _), v) in enumerate(small.items())
+                F.struct(F.lit(k).alias("k"), F.when(inside(i, low, high), F.col(columns[i])).alias("v"))
+                for k, ((i, _), (low, high, *_)) in enumerate(small.items())
             ]
             rows = df.select(F.inline(F.array(*cells))).filter("v is not null").groupBy("k", "v").count().collect()
-            for k, (key, (first, last, _, _, below, *_)) in enumerate(small.items()):
-                upto, picked = below, []
+            for k, (key, (_, _, below, *_)) in enumerate(small.items()):
                 for row in sorted((r for r in rows if r.k == k), key=lambda r: r.v):
-                    upto += row["count"]
-                    picked += [row.v for rank in (first, last)[len(picked) :] if rank < upto]
-                found[key] = picked
+                    below += row["count"]
+                    if key[1] < below:
+                        found[key] = row.v
+                        break
                 del open_to[key]
         if not open_to:
             break
-        # The sketch may be off by a share of 1 / ACCURACY; twice that on both sides is safe.
-        sketches = []
-        for (i, _), (first, last, low, high, below, n, _) in open_to.items():
-            near = [max(0.0, (first - below) / n - 2 / ACCURACY), min(1.0, (last - below + 1) / n + 2 / ACCURACY)]
-            sketches.append(F.percentile_approx(F.when(inside(i, low, high), F.col(columns[i])), near, ACCURACY))
-        brackets = df.agg(*[s.alias(f"_{k}") for k, s in enumerate(sketches)]).first()
+        if not guesses:
+            sketches = [
+                _sketch(F.when(inside(i, low, high), F.col(columns[i])), (rank - below + 0.5) / n, 2 / ACCURACY)
+                for (i, rank), (low, high, below, n, _) in open_to.items()
+            ]
+            row = df.agg(*[s.alias(f"_{k}") for k, s in enumerate(sketches)]).first()
+            guesses = dict(zip(open_to, row, strict=True))
         counts = []
-        for (i, _), (low, high) in zip(open_to, brackets, strict=True):
-            held = F.when(inside(i, low, high), F.col(columns[i]))
-            counts += [F.count_if(F.col(columns[i]) < low), F.count(held), F.approx_count_distinct(held)]
+        for key in open_to:
+            value, (low, guess, high) = F.col(columns[key[0]]), guesses[key]
+            held = F.when(inside(key[0], low, high), value)
+            counts += [
+                F.count_if(value < low), F.count(held), F.approx_count_distinct(held),
+                F.count_if(value < guess), F.count_if(value == guess),
+            ]
         totals = df.agg(*[c.alias(f"_{k}") for k, c in enumerate(counts)]).first()
-        for k, ((key, (first, last, *_)), (low, high)) in enumerate(zip(list(open_to.items()), brackets, strict=True)):
-            open_to[key] = first, last, low, high, *totals[3 * k : 3 * k + 3]
-    out: dict[str, list[float]] = {}
+        for k, key in enumerate(list(open_to)):
+            (low, guess, high), (below, n, distinct, less, same) = guesses[key], totals[5 * k : 5 * k + 5]
+            if less <= key[1] < less + same:
+                found[key] = guess
+                del open_to[key]
+            elif key[1] < less:
+                open_to[key] = low, math.nextafter(guess, -math.inf), below, less - below, distinct
+            else:
+                upto = less + same
+                open_to[key] = math.nextafter(guess, math.inf), high, upto, n - (upto - below), distinct
+        guesses = {}
+    out: dict[str, list[float]] = {c: [] for c in columns}
     for i, c in enumerate(columns):
-        out[c] = []
         for p in probabilities:
-            low, high = found[i, p]
             exact = p * (ends[i] - 1)
-            out[c].append(None if low is None else low + (exact - math.floor(exact)) * (high - low))
+            if not ends[i]:
+                out[c].append(None)
+                continue
+            low, high = found[i, math.floor(exact)], found[i, math.ceil(exact)]
+            out[c].append(low + (exact - math.floor(exact)) * (high - low))
     return out
 
 
@@ -192,8 +222,11 @@ def describe_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.min(c).alias(f"_{i}_min"),
             F.max(c).alias(f"_{i}_max"),
         ]
-    moments = numeric.agg(*aggregates).first()
-    quartiles = exact_quantiles(numeric, columns, QUARTILES)
+    sketches = [s.alias(f"_near_{k}") for k, s in enumerate(_sketches(columns, QUARTILES))]
+    moments = numeric.agg(*aggregates, *sketches).first()
+    ends = [moments[f"_{i}_{part}"] for part in ("cnt", "min", "max") for i in range(len(columns))]
+    ends += [moments[f"_near_{k}"] for k in range(len(sketches))]
+    quartiles = exact_quantiles(numeric, columns, QUARTILES, ends)
     rows = [
         (c, *(moments[f"_{i}_{part}"] for part in ("cnt", "mean", "std", "min")), *quartiles[c], moments[f"_{i}_max"])
         for i, c in enumerate(columns)

@@ -13,7 +13,7 @@ from placeseek.sources.tables import POST_COLUMNS, duplicate_keys
 
 KEY = "page_url"
 # Buckets of a new table, and the bits of the bitmap that Spark's bitmap functions build.
-BUCKETS = 64
+BUCKETS = 16
 FILTER_BITS = 32_768
 STORED = T.StructType([*POST.fields, T.StructField("bucket", T.IntegerType())])
 FILTERS = "bucket int, bits binary, buckets int"
@@ -48,6 +48,11 @@ def _bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int").alias("bucket")
 
 
+def _part() -> Column:
+    """Deals a bucket over a few tasks, so that a large one is no single task."""
+    return F.pmod(F.xxhash64(F.lit(3), KEY), F.lit(4))
+
+
 def _bits() -> list[Column]:
     """Places of an address in the bitmap of its bucket: two, from independent hashes."""
     return [F.pmod(F.xxhash64(F.lit(seed), KEY), F.lit(FILTER_BITS)).cast("int") for seed in (1, 2)]
@@ -65,10 +70,8 @@ def _filters(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.schema(FILTERS).parquet(at) if exists(spark, at) else None
 
 
-def _possibly_stored(keyed: DataFrame, filters: DataFrame, buckets: list[int] | None) -> DataFrame:
+def _possibly_stored(keyed: DataFrame, filters: DataFrame) -> DataFrame:
     """Rows (page_url, bucket, bits) all of whose bits are set in the filter of their bucket."""
-    if buckets is not None:
-        filters = filters.filter(one_of("bucket", buckets))
     merged = filters.groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("_set"))
     held = keyed.join(merged, "bucket")
 
@@ -79,7 +82,7 @@ def _possibly_stored(keyed: DataFrame, filters: DataFrame, buckets: list[int] |
     return held.filter(is_set(F.col("bits")[0]) & is_set(F.col("bits")[1])).select(KEY, "bucket")
 
 
-def taken(fresh: DataFrame, path: str) -> DataFrame | None:
+def taken(fresh: DataFrame, path: str, buckets: int) -> DataFrame | None:
     """(page_url) of the fresh rows that the table holds already.
 
     Bitmaps tell most new addresses apart without a look at the table. For the others only the buckets
@@ -89,12 +92,13 @@ def taken(fresh: DataFrame, path: str) -> DataFrame | None:
     existing, filters = existing_posts(spark, path), _filters(spark, path)
     if existing is None or filters is None:
         return None
-    keyed = fresh.select(KEY, _bucket(filters.agg(F.max("buckets")).first()[0]), F.array(*_bits()).alias("bits"))
-    wanted = [r.bucket for r in keyed.select("bucket").distinct().collect()]  # no more than buckets
-    possible = _possibly_stored(keyed, filters, wanted)
-    hit = sorted(r.bucket for r in possible.select("bucket").distinct().collect())
+    keyed = fresh.select(KEY, _bucket(buckets), F.array(*_bits()).alias("bits"))
+    keys, rows = localised(_possibly_stored(keyed, filters))
+    if rows is not None:
+        hit = sorted({r["bucket"] for r in rows})
+    else:
+        hit = sorted(r.bucket for r in keys.select("bucket").distinct().collect())  # no more than buckets
     stored_keys = existing.filter(one_of("bucket", hit)).select(KEY, "bucket")
-    keys, rows = localised(possible.select(KEY, "bucket"))
     return stored_keys.join(F.broadcast(keys) if rows is not None else keys, [KEY, "bucket"], "left_semi").select(KEY)
 
 
@@ -113,12 +117,13 @@ def append_new(arrivals: DataFrame, path: str, order: str = "id", buckets: int =
     # A batch is small beside the table; it is worked out once.
     fresh = first_per_key(arrivals, order).persist()
     try:
-        known = taken(fresh, path)
+        known = taken(fresh, path, buckets)
         added = fresh if known is None else fresh.join(known, KEY, "left_anti")
         added = added.select(*POST_COLUMNS, _bucket(buckets))
         bits = added.select("bucket", F.explode(F.array(*_bits())).alias("_bit"))
         bitmaps = bits.groupBy("bucket").agg(F.bitmap_construct_agg("_bit").alias("bits"))
-        bitmaps.withColumn("buckets", F.lit(buckets)).write.mode("append").parquet(f"{path}/_filters")
-        added.write.mode("append").partitionBy("bucket").parquet(path)
+        # A row per bucket.
+        bitmaps.withColumn("buckets", F.lit(buckets)).coalesce(1).write.mode("append").parquet(f"{path}/_filters")
+        added.repartition("bucket", _part()).write.mode("append").partitionBy("bucket").parquet(path)
     finally:
         fresh.unpersist()

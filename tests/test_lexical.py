@@ -165,8 +165,9 @@ def random_texts(seed, n=240):
 
 
 @pytest.mark.parametrize("form", [lexical.FLOORED, lexical.SMOOTHED])
-def test_skipping_ranges_gives_the_same_hits(spark, form):
+def test_skipping_ranges_gives_the_same_hits(spark, form, monkeypatch):
     texts, draw, words = random_texts(11)
+    monkeypatch.setattr(lexical, "FIRST_LOOK", 2)
     index = grown(spark, texts, [100, 170], range_docs=4)
     assert index.ranges.count() > 40
     queries = [" ".join(draw.choices(words, k=draw.randint(1, 5))) for _ in range(12)] + ["nosuchword", "", texts[3]]
@@ -181,17 +182,19 @@ def test_few_ranges_are_read(spark, monkeypatch):
     read = []
     scored = lexical._scored
 
-    def counting(index, heads, wanted, *rest):
+    def counting(index, heads, wanted, *rest, **more):
         read.append(wanted.count())
-        return scored(index, heads, wanted, *rest)
+        return scored(index, heads, wanted, *rest, **more)
 
     monkeypatch.setattr(lexical, "_scored", counting)
+    monkeypatch.setattr(lexical, "FIRST_LOOK", 1)
     close(found(spark, index, ["rare common"], 3, lexical.SMOOTHED)[0], brute(texts, "rare common", 3, "smoothed"))
     assert read[0] == 3 and read[1] == 0 and index.ranges.count() > 50
 
 
 @pytest.mark.parametrize("form", [lexical.FLOORED, lexical.SMOOTHED])
-def test_negative_mean_weight_over_many_ranges(spark, form):
+def test_negative_mean_weight_over_many_ranges(spark, form, monkeypatch):
+    monkeypatch.setattr(lexical, "FIRST_LOOK", 1)
     texts = ["a b c"] * 30 + ["", "zzz", "a"] + ["b a c"] * 9
     index = grown(spark, texts, [20], range_docs=2)
     for query in ("a", "zzz a", "b c", "nosuchword"):
@@ -221,7 +224,8 @@ def test_empty_parts_of_an_index(spark):
 
 
 @pytest.mark.parametrize("range_docs", [2, 4096])
-def test_ranking_inside_a_filtered_set(spark, range_docs):
+def test_ranking_inside_a_filtered_set(spark, range_docs, monkeypatch):
+    monkeypatch.setattr(lexical, "FIRST_LOOK", 3)
     texts, draw, words = random_texts(13, 120)
     index = grown(spark, texts, [50], range_docs=range_docs)
     allowed = [i for i in range(len(texts)) if i % 7 == 3]
@@ -243,6 +247,7 @@ def test_large_batches_over_many_ranges(spark, monkeypatch):
     index = grown(spark, texts, [30], range_docs=4)
     queries = [" ".join(draw.choices(words, k=3)) for _ in range(9)]
     want = found(spark, index, queries, 3, lexical.FLOORED)
+    monkeypatch.setattr(lexical, "FIRST_LOOK", 3)
     monkeypatch.setattr(lexical, "localised", lambda df, max_rows=0: (df, None))
     monkeypatch.setattr(lexical, "fits", lambda df: False)
     monkeypatch.setattr(lexical, "QUERY_PART", 2)
