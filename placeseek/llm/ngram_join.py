@@ -103,11 +103,14 @@ def bitmap_overlap(size, bits: np.ndarray, sizes, others: np.ndarray):
 
 
 def _batches(batches: Iterator[pa.RecordBatch]):
-    """(ids, shingle sets) in pieces of bounded text."""
-    for batch in batches:
-        ids = batch.column(0).to_pylist()
-        for begin, texts in text_batches(batch.column(1).to_pylist()):
-            yield ids[begin : begin + len(texts)], texts
+    """(ids, texts) in pieces of bounded text; the task's word hashes do not stay in its worker."""
+    try:
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            for begin, texts in text_batches(batch.column(1).to_pylist()):
+                yield ids[begin : begin + len(texts)], texts
+    finally:
+        _words.clear()
 
 
 def describe(docs: DataFrame, n: int = WORDS, bits: int = SKETCH_BITS) -> DataFrame:
