@@ -1,35 +1,40 @@
-"""Similarity join on word n-grams by prefix filtering and tries of ordered sets.
-
-1. One pass over the texts gives each document's set of shingles as 64-bit hashes: its size
-   and a key of the whole set, so that equal sets are one class from here on. The same pass
-   counts all shingles in a sketch of fixed size.
-2. The global order is (sketch count, hash), rare shingles first. Any fixed order gives exact
-   results; this one keeps shared passages out of the prefixes. Two sets with
-   4 * common >= 3 * union share a shingle among their first n - ceil(3n/4) + 1.
-3. Sets that share a prefix shingle are candidates, after bounds on length and position.
-   Buckets of up to ``HOT`` sets give their pairs. Larger ones first give the pairs with
-   their two leading sets only (those with the fewest rare shingles); components of the verified links then show which buckets
-   hold sets that are still apart, and only pairs across those components are looked at, in
-   blocks, with bitmaps of the sets to bound the overlap. A pair inside one component cannot change it, so no component is lost.
-4. Candidates of one set are stored in a trie of globally ordered shingles and traversed
-   against it: overlaps of shared branches are counted once, and branches are left when
-   the shingles that remain cannot reach the needed overlap.
+"""Similarity join on word n-grams: shared prefixes, stars of their buckets, tries of ordered sets.
+
+The global order of shingles is that of their 64-bit hashes, the same at every size of the
+corpus. Two sets with 4 * common >= 3 * union differ in at most (|x| + |y|) / 7 shingles.
+
+1. Each task gives the first shingles of every set, once per set: those that prefix filtering asks
+   for and ``n // EXTRA`` more. Similar sets then share not one but :func:`least` of them.
+2. A shingle counts for a set where another set of possible size has it, too. Sets with fewer
+   of these than ``least`` have no partner and go; few stay, as texts that share a passage share
+   only that.
+3. What is left gets exact document frequencies and is ordered anew, rare shingles first: of m
+   shared shingles the first m - least + 1 are enough to meet every partner in a bucket.
+4. A bucket gives the pairs of one leading set with the others, so rows grow with the sets.
+   Pairs whose parity bitmaps differ in too many bits go; the sets that are left to one probe
+   are stored in a trie in the global order and walked: overlaps of shared branches are
+   counted once, and branches are left when the shingles that remain cannot reach the
+   needed overlap. The links make components.
+5. Buckets that still hold several components give the pairs of the smaller ones with all others,
+   in blocks of bounded size, and what the bitmaps allow is verified in the same way. A pair inside one
+   component cannot change it, so no component is lost.
 
 Null and empty texts and texts without words have empty sets, which link with nothing. With
 fewer words than n the whole sequence is the only shingle. Equal sets always link. A
 repeated doc_id is one document whose rows must not differ. An empty table gives no rows;
-other columns are not read. Sets are told apart by size and a 64-bit key.
+other columns are not read. Sets are told apart by 128 bits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from placeseek.llm.components import components
@@ -38,12 +43,11 @@ from placeseek.session import stored
 from placeseek.sizing import fits
 
 WORDS = 5
-SKETCH_BITS = 20
-CHUNK_BITS = 14
-HOT = 64
+# One more shingle in so many is sent beyond the plain prefix.
+EXTRA = 8
+# Buckets of more sets are compared in blocks of BLOCK sets where components cross.
+HOT = 256
 BLOCK = 256
-# Length of the bitmap of a set, a multiple of 64.
-BITMAP = 1024
 TRIE_STEP = 128
 # Entries of the caches that a worker keeps.
 CACHED = 1_000_000
@@ -82,24 +86,50 @@ def shingles(text: str | None, n: int = WORDS) -> np.ndarray:
     return np.unique(total)
 
 
-def set_key(values: np.ndarray) -> int:
-    return xxhash.xxh64_intdigest(values.tobytes()) - (1 << 63)
+def set_key(values: np.ndarray) -> tuple[int, int]:
+    """128 bits of a whole set, as two signed numbers."""
+    key = xxhash.xxh3_128_intdigest(values.tobytes())
+    return (key >> 64) - (1 << 63), (key & ((1 << 64) - 1)) - (1 << 63)
 
 
-def bitmap(values: np.ndarray) -> bytes:
-    flags = np.zeros(BITMAP, dtype=bool)
-    flags[(values % np.uint64(BITMAP)).astype(np.int64)] = True
-    return np.packbits(flags).tobytes()
+def needed(size_a, size_b):
+    """Least overlap of two sets with 4 * common >= 3 * union."""
+    return (3 * (size_a + size_b) + 6) // 7
+
+
+def prefix(size):
+    """How many of a set's first shingles are sent."""
+    return np.minimum(size, size - (3 * size + 3) // 4 + 1 + size // EXTRA)
 
 
-def bitmap_overlap(size, bits: np.ndarray, sizes, others: np.ndarray):
-    """Upper bounds of the overlap of a set with others.
+@lru_cache(maxsize=100_000)
+def least(size: int) -> int:
+    """How many shingles the prefixes of two similar sets share, whatever the size of the other.
 
-    Each bit that only one of two bitmaps holds stands for a shingle that the other set lacks.
+    Of the prefix that ends first in the global order, all shingles that both sets hold are in both
+    prefixes, and its set has at most |set| - needed shingles that the other lacks.
     """
-    own = np.bitwise_count(bits & ~others).sum(axis=1, dtype=np.int64)
-    their = np.bitwise_count(others & ~bits).sum(axis=1, dtype=np.int64)
-    return np.minimum(size - own, sizes - their)
+    others = np.arange((3 * size + 3) // 4, 4 * size // 3 + 1)
+    both = needed(size, others)
+    shared = np.minimum(prefix(size) - (size - both), prefix(others) - (others - both))
+    return max(1, int(shared.min()))
+
+
+def parity(values: np.ndarray) -> bytes:
+    """Bitmap of a set, two to four bits a shingle: whether an odd number of shingles falls on a bit."""
+    length = max(64, 2 << int(len(values) - 1).bit_length())
+    counts = np.bincount((values & np.uint64(length - 1)).astype(np.int64), minlength=length)
+    return np.packbits((counts & 1).astype(bool)).tobytes()
+
+
+def folded(bits: np.ndarray, length: int) -> np.ndarray:
+    """Rows of bitmaps as they are at a shorter length (a power of two, in bytes)."""
+    return np.bitwise_xor.reduce(bits.reshape(len(bits), -1, length), axis=1)
+
+
+def differing(size_a, size_b):
+    """Most shingles that only one of two similar sets holds."""
+    return size_a + size_b - 2 * needed(size_a, size_b)
 
 
 def _batches(batches: Iterator[pa.RecordBatch]):
@@ -113,236 +143,168 @@ def _batches(batches: Iterator[pa.RecordBatch]):
         _words.clear()
 
 
-def describe(docs: DataFrame, n: int = WORDS, bits: int = SKETCH_BITS) -> DataFrame:
-    """(doc_id, size, key, bits) of every document, and (chunk, counts) rows of the sketch."""
+def describe(docs: DataFrame, n: int = WORDS) -> DataFrame:
+    """(doc_id, size, k1, k2) of every document: the size and key of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(1 << bits, dtype=np.int64)
-        shift = np.uint64(64 - bits)
         for ids, texts in _batches(batches):
             sets = [shingles(t, n) for t in texts]
-            buckets = np.concatenate(sets) >> shift
-            counters += np.bincount(buckets.astype(np.int64), minlength=1 << bits)
+            keys = np.array([set_key(s) for s in sets], dtype=np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": pa.array(ids, pa.int64()),
                     "size": pa.array([len(s) for s in sets], pa.int64()),
-                    "key": pa.array([set_key(s) for s in sets], pa.int64()),
-                    "bits": pa.array(list(map(bitmap, sets)), pa.binary()),
-                    "chunk": pa.array([None] * len(ids), pa.int32()),
-                    "counts": pa.array([None] * len(ids), pa.binary()),
+                    "k1": pa.array(keys[:, 0]),
+                    "k2": pa.array(keys[:, 1]),
                 }
             )
-        step = 1 << CHUNK_BITS
-        for chunk in range(max(1, (1 << bits) >> CHUNK_BITS)):
-            part = counters[chunk * step : (chunk + 1) * step]
-            used = np.flatnonzero(part)
-            if len(used):
-                packed = np.concatenate([used, np.minimum(part[used], 65_535)]).astype("<u2")
-                none = pa.nulls(1, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        none, none, none, pa.nulls(1, pa.binary()),
-                        pa.array([chunk], pa.int32()), pa.array([packed.tobytes()], pa.binary()),
-                    ],
-                    names=["doc_id", "size", "key", "bits", "chunk", "counts"],
-                )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, size long, key long, bits binary, chunk int, counts binary"
-    )
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, size long, k1 long, k2 long")
 
 
-def sketch(described: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
-    """Counts of all shingles by the first bits of their hash; of fixed size."""
-    step = 1 << CHUNK_BITS
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                used, counts = np.frombuffer(packed, dtype="<u2").reshape(2, -1)
-                np.add.at(sums.setdefault(chunk, np.zeros(step, dtype=np.int64)), used, counts)
-        for chunk, total in sums.items():
-            yield pa.RecordBatch.from_pydict(
-                {"chunk": pa.array([chunk], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())}
-            )
-
-    rows = (
-        described.filter("chunk is not null")
-        .select("chunk", "counts")
-        .repartition("chunk")
-        .mapInArrow(add, "chunk int, counts binary")
-        .collect()  # at most 2^bits counters
-    )
-    counters = np.zeros(1 << bits, dtype=np.int64)
-    for row in rows:
-        counters[row.chunk * step : (row.chunk + 1) * step] = np.frombuffer(row.counts, dtype=np.int64)[: 1 << bits]
-    return counters.astype(np.uint32) if counters.max(initial=0) < 1 << 32 else counters
-
-
-def ordered(values: np.ndarray, counters: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
-    """A set in the global order."""
-    return values[np.lexsort((values, counters[(values >> np.uint64(64 - bits)).astype(np.int64)]))]
-
-
-def needed(size_a, size_b):
-    """Least overlap of two sets with 4 * common >= 3 * union."""
-    return (3 * (size_a + size_b) + 6) // 7
-
-
-def signatures(docs: DataFrame, counters, n: int = WORDS, bits: int = SKETCH_BITS) -> DataFrame:
-    """(sig, pos, key, size, rare): the prefix of each set, once per class and task.
-
-    ``rare`` is the number of shingles in the prefix that few sets hold.
-    """
-    shift = np.uint64(64 - bits)
+def prefixes(docs: DataFrame, n: int = WORDS) -> DataFrame:
+    """(sig, k1, k2, size, least): the prefix of each set, once per set and task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[int] = set()
+        known: set[tuple[int, int]] = set()
         for _, texts in _batches(batches):
-            sigs, places, keys, sizes, rare = [], [], [], [], []
+            sigs, keys, sizes = [], [], []
             for text in texts:
                 values = shingles(text, n)
-                size = len(values)
                 key = set_key(values)
-                if not size or key in known:
+                if not len(values) or key in known:
                     continue
                 if len(known) > CACHED:
                     known.clear()
                 known.add(key)
-                prefix = size - (3 * size + 3) // 4 + 1
-                leading = ordered(values, counters.value, bits)[:prefix]
-                few = int((counters.value[(leading >> shift).astype(np.int64)] <= HOT).sum())
-                sigs.append(leading.astype(np.int64))
-                rare.append(np.full(prefix, few, dtype=np.int32))
-                places.append(np.arange(prefix, dtype=np.int32))
-                keys.append(np.full(prefix, key, dtype=np.int64))
-                sizes.append(np.full(prefix, size, dtype=np.int32))
+                sigs.append(values[: prefix(len(values))].astype(np.int64))
+                keys.append(key)
+                sizes.append(len(values))
             if sigs:
+                times = [len(s) for s in sigs]
+                pair = np.repeat(np.array(keys, dtype=np.int64), times, axis=0)
+                columns = [
+                    np.concatenate(sigs), pair[:, 0], pair[:, 1],
+                    np.repeat(np.array(sizes, dtype=np.int32), times),
+                    np.repeat(np.array([least(s) for s in sizes], dtype=np.int32), times),
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in (sigs, places, keys, sizes, rare)],
-                    names=["sig", "pos", "key", "size", "rare"],
+                    [pa.array(c) for c in columns], names=["sig", "k1", "k2", "size", "least"]
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "sig long, pos int, key long, size int, rare int"
+    return docs.select(F.lit(None).cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "sig long, k1 long, k2 long, size int, least int"
     )
 
 
-def possible(pos_a, size_a, pos_b, size_b):
-    """Whether two sets that share a shingle at these places can be similar enough."""
-    small, large = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
-    most = np.minimum(pos_a, pos_b) + 1 + np.minimum(size_a - pos_a, size_b - pos_b) - 1
-    return (4 * small >= 3 * large) & (most >= needed(size_a, size_b))
-
-
-def candidates(rows: DataFrame, hot: int = HOT) -> DataFrame:
-    """Pairs (a, b) of keys, and the members (sig, pos, key, size) of buckets above ``hot``.
+def shared(rows: DataFrame) -> DataFrame:
+    """The rows of :func:`prefixes` whose shingle another set of possible size has in its prefix, too.
 
-    Rows come sorted by bucket, sets with the fewest rare shingles first: those lie amid
-    their near copies, and lead in every bucket that the same sets share, so that these
-    give the same pairs. A task holds one bucket's first rows only.
+    In a bucket sorted by size the nearest size lies beside a row, so a task looks at one row
+    before and one behind, and holds no bucket.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.empty(0, dtype=t) for t in (np.int64, np.int32, np.int64, np.int32)]
-        hot_sig: int | None = None
-        leaders: list[np.ndarray] = []
+        # The last rows so far: one that is decided and one that waits for its next.
+        held: list[np.ndarray] | None = None
+        decided = 0
 
-        def pairs_of(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-            both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-            none = pa.nulls(len(both), pa.int32())
+        def decide(part: list[np.ndarray], first: int, last: int) -> pa.RecordBatch:
+            near = (part[0][1:] == part[0][:-1]) & (4 * part[3][:-1].astype(np.int64) >= 3 * part[3][1:].astype(np.int64))
+            ok = np.r_[False, near] | np.r_[near, False]
             return pa.RecordBatch.from_arrays(
-                [pa.array(both[:, 0]), pa.array(both[:, 1]), pa.nulls(len(both), pa.int64()), none, none],
-                names=["a", "b", "sig", "pos", "size"],
+                [pa.array(c[first:last][ok[first:last]]) for c in part], names=["sig", "k1", "k2", "size", "least"]
             )
 
-        def members_of(part: list[np.ndarray]) -> pa.RecordBatch:
-            none = pa.nulls(len(part[0]), pa.int64())
-            columns = [pa.array(part[2]), none, pa.array(part[0]), pa.array(part[1]), pa.array(part[3])]
-            return pa.RecordBatch.from_arrays(columns, names=["a", "b", "sig", "pos", "size"])
-
-        def lead(part: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            _, pos, key, size = part
-            for at in range(2):
-                p, k, s = (x[at] for x in leaders[1:])
-                ok = possible(pos, size, p, s) & (key != k)
-                if ok.any():
-                    yield pairs_of(np.full(int(ok.sum()), k), key[ok])
-            yield members_of(part)
-
-        def settle(part: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            """Buckets that are complete, each of at most ``hot`` sets."""
-            sig, pos, key, size = part
-            left, right = [], []
-            for step in range(1, len(sig)):
-                same = np.flatnonzero(sig[:-step] == sig[step:])
-                if not len(same):
-                    break
-                ok = same[possible(pos[same], size[same], pos[same + step], size[same + step])]
-                left.append(key[ok])
-                right.append(key[ok + step])
-            if left and sum(map(len, left)):
-                yield pairs_of(np.concatenate(left), np.concatenate(right))
-
-        def cut(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal held, hot_sig, leaders
-            sig = held[0]
-            if not len(sig):
-                return
-            borders = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
-            lengths = np.diff(np.r_[borders, len(sig)])
-            plain = np.ones(len(sig), dtype=bool)
-            for at, length in zip(borders.tolist(), lengths.tolist(), strict=True):
-                if at == 0 and sig[0] == hot_sig or length > hot:
-                    part = [x[at : at + length] for x in held]
-                    if sig[at] != hot_sig:
-                        hot_sig, leaders = int(sig[at]), [x[:2].copy() for x in part]
-                    yield from lead(part)
-                    plain[at : at + length] = False
-            start = borders[-1]
-            if not last and plain[start]:
-                rest = [x[start:] for x in held]
-                plain[start:] = False
-            else:
-                rest = [x[:0] for x in held]
-            yield from settle([x[plain] for x in held])
-            held = rest
-
-        before = (None, None)
         for batch in batches:
-            new = [c.to_numpy() for c in batch.columns]
-            if not len(new[0]):
+            if not batch.num_rows:
                 continue
-            fresh = np.r_[(new[0][0], new[2][0]) != before, (new[0][1:] != new[0][:-1]) | (new[2][1:] != new[2][:-1])]
-            before = (new[0][-1], new[2][-1])
-            held = [np.concatenate([h, x[fresh]]) for h, x in zip(held, new, strict=True)]
-            yield from cut(False)
-        yield from cut(True)
+            new = [c.to_numpy() for c in batch.columns]
+            part = new if held is None else [np.concatenate([h, c]) for h, c in zip(held, new, strict=True)]
+            again = np.logical_and.reduce([c[1:] == c[:-1] for c in part[:3]])
+            part = [c[np.r_[True, ~again]] for c in part]
+            yield decide(part, decided, len(part[0]) - 1)
+            decided = min(1, len(part[0]) - 1)
+            held = [c[-2:] for c in part]
+        if held is not None:
+            yield decide(held, decided, len(held[0]))
+
+    dealt = rows.repartition("sig").sortWithinPartitions("sig", "size", "k1", "k2")
+    return dealt.mapInArrow(run, "sig long, k1 long, k2 long, size int, least int")
+
+
+def buckets(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """(sig, doc, size, held) of the sets that may have partners: the buckets in which they meet them.
+
+    ``held`` is the part of a prefix, in thousandths, that other sets have as well.
+    """
+    alive = (
+        rows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("_n"), F.first("least").alias("_least"))
+        .filter("_n >= _least").join(classes, ["k1", "k2"]).select("k1", "k2", "doc")
+    )
+    left = stored(rows.join(alive, ["k1", "k2"]).select("sig", "doc", "size", "least"), "alive")
+    counts = left.groupBy("sig").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    own = Window.partitionBy("doc")
+    placed = left.join(counts, "sig").select(
+        "sig", "doc", "size", "least", F.count(F.lit(1)).over(own).alias("_n"),
+        F.row_number().over(own.orderBy("df", "sig")).alias("_place"),
+    )
+    return placed.filter("_place <= _n - least + 1").select(
+        "sig", "doc", "size", (F.col("_n") * 1000 / F.col("size")).cast("int").alias("held")
+    )
 
-    dealt = rows.repartition("sig").sortWithinPartitions("sig", "rare", "key")
-    return dealt.select("sig", "pos", "key", "size").mapInArrow(run, "a long, b long, sig long, pos int, size int")
+
+def stars(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each bucket's leading set, the one with most of its shingles held by others, with the rest."""
+    leading = members.groupBy("sig").agg(F.min(F.struct(-F.col("held"), "doc", "size")).alias("_first"))
+    met = members.join(leading, "sig").select(
+        F.col("_first.doc").alias("a"), F.col("_first.size").alias("_size"), F.col("doc").alias("b"), "size"
+    )
+    alike = 4 * F.least("size", "_size") >= 3 * F.greatest("size", "_size")
+    return met.filter((F.col("a") != F.col("b")) & alike).select("a", "b").distinct()
 
 
-def ordered_sets(docs: DataFrame, wanted: DataFrame, counters, n: int = WORDS, bits: int = SKETCH_BITS) -> DataFrame:
-    """(key, doc_id, shingles) of the documents in ``wanted`` (doc_id), in the global order."""
+def sets_of(docs: DataFrame, wanted: DataFrame, n: int = WORDS) -> DataFrame:
+    """(doc, size, bits, shingles) of the documents in ``wanted`` (doc), shingles in the global order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _batches(batches):
             sets = [shingles(t, n) for t in texts]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "key": pa.array([set_key(s) for s in sets], pa.int64()),
-                    "doc_id": pa.array(ids, pa.int64()),
-                    "shingles": pa.array([ordered(s, counters.value, bits).tobytes() for s in sets], pa.binary()),
+                    "doc": pa.array(ids, pa.int64()),
+                    "size": pa.array([len(s) for s in sets], pa.int32()),
+                    "bits": pa.array([parity(s) for s in sets], pa.binary()),
+                    "shingles": pa.array([s.tobytes() for s in sets], pa.binary()),
                 }
             )
 
+    names = wanted.select(F.col("doc").alias("doc_id"))
     kept = docs.select(F.col("doc_id").cast("long"), "text").join(
-        F.broadcast(wanted) if fits(wanted) else wanted, "doc_id", "left_semi"
+        F.broadcast(names) if fits(names) else names, "doc_id", "left_semi"
     )
-    return kept.mapInArrow(run, "key long, doc_id long, shingles binary")
+    return kept.mapInArrow(run, "doc long, size int, bits binary, shingles binary")
+
+
+def plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose bitmaps differ in no more bits than similar sets may."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, size_a, size_b = (c.to_numpy() for c in batch.columns[:4])
+            ok = np.zeros(batch.num_rows, dtype=bool)
+            most = differing(size_a.astype(np.int64), size_b.astype(np.int64))
+            for k, (x, y) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)):
+                length = min(len(x), len(y))
+                one, two = (folded(np.frombuffer(v, dtype=np.uint8)[None], length) for v in (x, y))
+                ok[k] = int(np.bitwise_count(one ^ two).sum()) <= most[k]
+            yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], names=["a", "b"])
+
+    def side(name: str) -> DataFrame:
+        return sets.select(F.col("doc").alias(name), F.col("size").alias(f"s_{name}"), F.col("bits").alias(f"m_{name}"))
+
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    return joined.select("a", "b", "s_a", "s_b", "m_a", "m_b").mapInArrow(run, "a long, b long")
 
 
 class TrieNode:
@@ -391,103 +353,114 @@ def similar(probe: bytes, sets: list[bytes], step: int = TRIE_STEP) -> list[int]
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b) doc_ids of the candidate pairs that are similar enough."""
+    """The pairs (a, b) that are similar enough; each moves the set of b to that of a."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            probes, docs_a, docs_b = (batch.column(k).to_numpy() for k in (0, 1, 2))
-            left, right = batch.column(3), batch.column(4).to_pylist()
-            borders = np.flatnonzero(np.r_[True, probes[1:] != probes[:-1]]) if len(probes) else []
+            probes, others = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            left, right = batch.column(2), batch.column(3).to_pylist()
+            borders = np.flatnonzero(np.r_[True, probes[1:] != probes[:-1]]).tolist() if len(probes) else []
             a, b = [], []
             for begin, end in zip(borders, [*borders[1:], len(probes)], strict=True):
-                for k in similar(left[int(begin)].as_py(), right[begin:end]):
-                    a.append(docs_a[begin])
-                    b.append(docs_b[begin + k])
+                for k in similar(left[begin].as_py(), right[begin:end]):
+                    a.append(probes[begin])
+                    b.append(others[begin + k])
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     def side(name: str) -> DataFrame:
-        return sets.select(
-            F.col("key").alias(name), F.col("doc_id").alias(f"doc_{name}"), F.col("shingles").alias(f"set_{name}")
-        )
+        return sets.select(F.col("doc").alias(name), F.col("shingles").alias(f"set_{name}")).hint("merge")
 
-    joined = pairs.join(side("b").hint("merge"), "b").join(side("a").hint("merge"), "a")
-    return joined.select("a", "doc_a", "doc_b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    joined = pairs.join(side("b"), "b").join(side("a"), "a")
+    return joined.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-def crossing(members: DataFrame, labels: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Candidate pairs (a, b) of hot buckets whose sets are in different components.
+def crossing(
+    members: DataFrame, labels: DataFrame, sets: DataFrame, hot: int = HOT, block: int = BLOCK
+) -> DataFrame:
+    """Pairs (a, b) of sets that share a bucket, are in different components and have bitmaps that allow it.
 
-    Buckets hold common passages, which unlike sets share as well: a pair is given only if
-    the bitmaps of ``labels`` (key, component, bits) leave the needed overlap possible.
+    The sets of a bucket's largest component meet the others only. Rows are those of the buckets
+    that hold several components, repeated once per block of the side they meet.
     """
-    known = members.join(labels, "key")
-    apart = (
-        known.groupBy("sig")
-        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("_n"))
-        .filter("lo <> hi")
-        .select("sig", F.ceil(F.col("_n") / block).cast("int").alias("_blocks"))
+    known = members.join(labels, members["doc"] == labels["node"], "left").select(
+        "sig", "doc", F.coalesce("component", "doc").alias("component")
     )
-    dealt = known.join(apart, "sig").withColumn("_own", F.pmod(F.xxhash64("key"), F.col("_blocks")).cast("int"))
-    every = F.sequence(F.lit(0), F.col("_blocks") - 1)
-    spread = dealt.withColumn("_other", F.explode(every)).select(
-        "sig", "key", "pos", "size", "component", "bits", "_own",
-        F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"),
+    main = (
+        known.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("_c"))
+        .groupBy("sig").agg(F.sum("_c").alias("_n"), F.max(F.struct("_c", "component")).alias("_main"))
+        .filter("_main._c < _n")
+        .select(
+            "sig", F.col("_main.component").alias("_main"),
+            *[
+                F.when(F.col("_n") > hot, F.ceil(size / block)).otherwise(1).cast("int").alias(name)
+                for size, name in ((F.col("_n"), "_blocks"), (F.col("_n") - F.col("_main._c"), "_small"))
+            ],
+        )
     )
+    dealt = known.join(main, "sig").withColumn("minor", F.col("component") != F.col("_main"))
+    place = F.xxhash64("doc")
 
-    def run(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        a, b = [], []
-        pos, size, key, label = (rows[c].to_numpy() for c in ("pos", "size", "key", "component"))
-        bits = np.frombuffer(b"".join(rows["bits"]), dtype=np.uint64).reshape(len(rows), -1)
-        second = rows["_own"].to_numpy() == group[2]
-        same = group[1] == group[2]
-        for k in range(len(rows)):
-            if second[k] and not same:
-                continue
-            ok = (label != label[k]) & possible(pos, size, pos[k], size[k])
-            ok = np.flatnonzero(ok & ((key > key[k]) if same else second))
-            ok = ok[bitmap_overlap(size[k], bits[k], size[ok], bits[ok]) >= needed(size[ok], size[k])]
-            a.append(np.minimum(key[ok], key[k]))
-            b.append(np.maximum(key[ok], key[k]))
-        none = np.empty(0, dtype=np.int64)
-        return pd.DataFrame({"a": np.concatenate([none, *a]), "b": np.concatenate([none, *b])})
+    def every(name: str):
+        return F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+
+    holders = dealt.select(
+        "sig", "doc", "component", "minor", F.lit(False).alias("probe"),
+        F.pmod(place, F.col("_blocks")).cast("int").alias("_i"), every("_small").alias("_j"),
+    )
+    probes = dealt.filter("minor").select(
+        "sig", "doc", "component", "minor", F.lit(True).alias("probe"),
+        every("_blocks").alias("_i"), F.pmod(place, F.col("_small")).cast("int").alias("_j"),
+    )
+    spread = holders.unionByName(probes).join(sets.select("doc", "size", "bits"), "doc")
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        near = rows[~rows["probe"]]
+        by_length = []
+        for length, part in near.groupby(near["bits"].str.len()):
+            bits = np.frombuffer(b"".join(part["bits"]), dtype=np.uint8).reshape(len(part), length)
+            columns = (part[c].to_numpy() for c in ("doc", "component", "minor"))
+            by_length.append((length, bits, part["size"].to_numpy().astype(np.int64), *columns))
+        a, b = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+        far = rows[rows["probe"]]
+        for doc, label, size, own in zip(far["doc"], far["component"], far["size"], far["bits"], strict=True):
+            mine = np.frombuffer(own, dtype=np.uint8)[None]
+            for length, bits, sizes, docs, labels_, minor in by_length:
+                alike = 4 * np.minimum(sizes, size) >= 3 * np.maximum(sizes, size)
+                ok = np.flatnonzero((labels_ != label) & alike & (~minor | (docs > doc)))
+                if not len(ok):
+                    continue
+                short = min(length, mine.shape[1])
+                apart = np.bitwise_count(folded(bits[ok], short) ^ folded(mine, short)).sum(axis=1, dtype=np.int64)
+                ok = ok[apart <= differing(sizes[ok], size)]
+                a.append(np.minimum(docs[ok], doc))
+                b.append(np.maximum(docs[ok], doc))
+        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
 
     return spread.groupBy("sig", "_i", "_j").applyInPandas(run, "a long, b long").distinct()
 
 
-def linked(docs: DataFrame, n: int = WORDS, bits: int = SKETCH_BITS, hot: int = HOT, block: int = BLOCK) -> DataFrame:
+def linked(docs: DataFrame, n: int = WORDS, hot: int = HOT, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
-    spark = docs.sparkSession
-    described = stored(describe(docs, n, bits), "sets")
-    owned = described.filter("chunk is null")
-    counters = spark.sparkContext.broadcast(sketch(described, bits))
-    classes = owned.filter("size > 0").groupBy("key", "size").agg(
-        F.min("doc_id").alias("rep"), F.min("bits").alias("bits")
-    )
-
-    found = stored(candidates(signatures(docs, counters, n, bits), hot), "candidates")
-    pairs = found.filter("sig is null").select("a", "b").distinct()
-    members = found.filter("sig is not null").select("sig", F.col("a").alias("key"), "pos", "size")
-
-    def links_of(some: DataFrame) -> DataFrame:
-        some = stored(some, "pairs")
-        keys = some.select(F.col("a").alias("key")).unionByName(some.select(F.col("b").alias("key"))).distinct()
-        wanted = stored(classes.join(keys, "key").select(F.col("rep").alias("doc_id")), "wanted")
-        sets = stored(ordered_sets(docs, wanted, counters, n, bits), "ordered")
-        return stored(verified(some, sets), "links")
-
-    links = links_of(pairs)
+    owned = stored(describe(docs, n), "sets")
+    classes = owned.filter("size > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("doc")).filter("doc is not null")
+    met = stored(shared(prefixes(docs, n)), "shared")
+    members = stored(buckets(met, classes), "buckets")
+    sets = stored(sets_of(docs, members.select("doc").distinct(), n), "ordered")
+    if sets.groupBy("doc").count().filter("count > 1").limit(1).count():
+        sets = stored(sets.dropDuplicates(["doc"]), "ordered")
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        return stored(verified(stored(pairs, "pairs"), sets), "links")
+
+    links = links_of(plausible(stars(members), sets))
     labels = components(links)
-    if members.limit(1).count():
-        by_key = classes.select("key", "rep", "bits").join(
-            labels.withColumnRenamed("node", "rep"), "rep", "left"
-        ).select("key", F.coalesce("component", "rep").alias("component"), "bits")
-        more = links_of(crossing(members, by_key, block))
-        if more.limit(1).count():
-            labels = components(links.unionByName(more))
-    labelled = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "size", F.coalesce("component", "rep").alias("component_id")
+    more = links_of(crossing(members, labels, sets, hot, block))
+    if more.limit(1).count():
+        labels = components(links.unionByName(more))
+    labelled = classes.join(labels, classes["doc"] == labels["node"], "left").select(
+        "k1", "k2", F.coalesce("component", "doc").alias("component_id")
     )
     # Classes of very many copies: the small side is spread over all tasks by the adaptive join.
-    return owned.join(labelled, ["key", "size"], "left").select(
+    return owned.join(labelled, ["k1", "k2"], "left").select(
         "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
