@@ -15,9 +15,9 @@ corpus. Two sets with 4 * common >= 3 * union differ in at most (|x| + |y|) / 7
    are stored in a trie in the global order and walked: overlaps of shared branches are
    counted once, and branches are left when the shingles that remain cannot reach the
    needed overlap. The links make components.
-5. Buckets that still hold several components give the pairs of the smaller ones with all others,
-   in blocks of bounded size, and what the bitmaps allow is verified in the same way. A pair inside one
-   component cannot change it, so no component is lost.
+5. Buckets whose other sets still are in several components give the pairs of the smaller ones with all
+   others, large buckets in blocks of bounded size, and what the bitmaps allow is verified in the
+   same way. A pair inside one component cannot change it, so no component is lost.
 
 Null and empty texts and texts without words have empty sets, which link with nothing. With
 fewer words than n the whole sequence is the only shingle. Equal sets always link. A
@@ -34,7 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from placeseek.llm.components import components
@@ -46,7 +46,7 @@ WORDS = 5
 # One more shingle in so many is sent beyond the plain prefix.
 EXTRA = 8
 # Buckets of more sets are compared in blocks of BLOCK sets where components cross.
-HOT = 256
+HOT = 64
 BLOCK = 256
 TRIE_STEP = 128
 # Entries of the caches that a worker keeps.
@@ -234,9 +234,9 @@ def shared(rows: DataFrame) -> DataFrame:
 
 
 def buckets(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """(sig, doc, size, held) of the sets that may have partners: the buckets in which they meet them.
+    """(sig, doc, size, lead, lead_size) of the sets that may have partners: the buckets in which they meet them.
 
-    ``held`` is the part of a prefix, in thousandths, that other sets have as well.
+    The leading set of a bucket is the one with the largest part of its shingles held by others.
     """
     alive = (
         rows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("_n"), F.first("least").alias("_least"))
@@ -249,19 +249,25 @@ def buckets(rows: DataFrame, classes: DataFrame) -> DataFrame:
         "sig", "doc", "size", "least", F.count(F.lit(1)).over(own).alias("_n"),
         F.row_number().over(own.orderBy("df", "sig")).alias("_place"),
     )
-    return placed.filter("_place <= _n - least + 1").select(
+    found = placed.filter("_place <= _n - least + 1").select(
         "sig", "doc", "size", (F.col("_n") * 1000 / F.col("size")).cast("int").alias("held")
     )
+    leading = found.groupBy("sig").agg(
+        F.min(F.struct(-F.col("held"), "doc", "size")).alias("_first"), F.count(F.lit(1)).alias("_n")
+    )
+    return found.join(leading.filter("_n > 1"), "sig").select(
+        "sig", "doc", "size", F.col("_first.doc").alias("lead"), F.col("_first.size").alias("lead_size")
+    )
+
+
+def alike(one: str, two: str) -> Column:
+    return 4 * F.least(one, two) >= 3 * F.greatest(one, two)
 
 
 def stars(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each bucket's leading set, the one with most of its shingles held by others, with the rest."""
-    leading = members.groupBy("sig").agg(F.min(F.struct(-F.col("held"), "doc", "size")).alias("_first"))
-    met = members.join(leading, "sig").select(
-        F.col("_first.doc").alias("a"), F.col("_first.size").alias("_size"), F.col("doc").alias("b"), "size"
-    )
-    alike = 4 * F.least("size", "_size") >= 3 * F.greatest("size", "_size")
-    return met.filter((F.col("a") != F.col("b")) & alike).select("a", "b").distinct()
+    """Pairs (a, b) of each bucket's leading set with the rest."""
+    met = members.filter((F.col("doc") != F.col("lead")) & alike("size", "lead_size"))
+    return met.select(F.col("lead").alias("a"), F.col("doc").alias("b")).distinct()
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int = WORDS) -> DataFrame:
@@ -379,35 +385,44 @@ def crossing(
 ) -> DataFrame:
     """Pairs (a, b) of sets that share a bucket, are in different components and have bitmaps that allow it.
 
-    The sets of a bucket's largest component meet the others only. Rows are those of the buckets
-    that hold several components, repeated once per block of the side they meet.
+    The sets of a bucket's largest component meet the others only; leading sets have met all. In buckets
+    of more than ``hot`` sets, rows are repeated once per block of the side they meet.
     """
-    known = members.join(labels, members["doc"] == labels["node"], "left").select(
-        "sig", "doc", F.coalesce("component", "doc").alias("component")
+    rest = members.filter("doc <> lead")
+    known = rest.join(labels, rest["doc"] == labels["node"], "left").select(
+        "sig", "doc", "size", F.coalesce("component", "doc").alias("component")
     )
     main = (
         known.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("_c"))
         .groupBy("sig").agg(F.sum("_c").alias("_n"), F.max(F.struct("_c", "component")).alias("_main"))
         .filter("_main._c < _n")
         .select(
-            "sig", F.col("_main.component").alias("_main"),
-            *[
-                F.when(F.col("_n") > hot, F.ceil(size / block)).otherwise(1).cast("int").alias(name)
-                for size, name in ((F.col("_n"), "_blocks"), (F.col("_n") - F.col("_main._c"), "_small"))
-            ],
+            "sig", F.col("_main.component").alias("_main"), (F.col("_n") > hot).alias("_hot"),
+            F.ceil(F.col("_n") / block).cast("int").alias("_blocks"),
+            F.ceil((F.col("_n") - F.col("_main._c")) / block).cast("int").alias("_small"),
         )
     )
-    dealt = known.join(main, "sig").withColumn("minor", F.col("component") != F.col("_main"))
+    dealt = stored(known.join(main, "sig").withColumn("minor", F.col("component") != F.col("_main")), "apart")
+    few, many = dealt.filter("not _hot"), dealt.filter("_hot")
+
+    one = few.filter("minor").select("sig", *[F.col(c).alias(f"{c}_") for c in ("doc", "size", "component")])
+    near = few.join(one, "sig").filter(
+        (F.col("component") != F.col("component_")) & alike("size", "size_") & (~F.col("minor") | F.expr("doc > doc_"))
+    )
+    near = near.select(F.least("doc", "doc_").alias("a"), F.greatest("doc", "doc_").alias("b")).distinct()
+    pairs = plausible(near, sets)
+    if not many.limit(1).count():
+        return pairs
     place = F.xxhash64("doc")
 
-    def every(name: str):
+    def every(name: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(name) - 1))
 
-    holders = dealt.select(
+    holders = many.select(
         "sig", "doc", "component", "minor", F.lit(False).alias("probe"),
         F.pmod(place, F.col("_blocks")).cast("int").alias("_i"), every("_small").alias("_j"),
     )
-    probes = dealt.filter("minor").select(
+    probes = many.filter("minor").select(
         "sig", "doc", "component", "minor", F.lit(True).alias("probe"),
         every("_blocks").alias("_i"), F.pmod(place, F.col("_small")).cast("int").alias("_j"),
     )
@@ -425,8 +440,8 @@ def crossing(
         for doc, label, size, own in zip(far["doc"], far["component"], far["size"], far["bits"], strict=True):
             mine = np.frombuffer(own, dtype=np.uint8)[None]
             for length, bits, sizes, docs, labels_, minor in by_length:
-                alike = 4 * np.minimum(sizes, size) >= 3 * np.maximum(sizes, size)
-                ok = np.flatnonzero((labels_ != label) & alike & (~minor | (docs > doc)))
+                close = 4 * np.minimum(sizes, size) >= 3 * np.maximum(sizes, size)
+                ok = np.flatnonzero((labels_ != label) & close & (~minor | (docs > doc)))
                 if not len(ok):
                     continue
                 short = min(length, mine.shape[1])
@@ -436,7 +451,7 @@ def crossing(
                 b.append(np.maximum(docs[ok], doc))
         return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
 
-    return spread.groupBy("sig", "_i", "_j").applyInPandas(run, "a long, b long").distinct()
+    return pairs.unionByName(spread.groupBy("sig", "_i", "_j").applyInPandas(run, "a long, b long")).distinct()
 
 
 def linked(docs: DataFrame, n: int = WORDS, hot: int = HOT, block: int = BLOCK) -> DataFrame:
