@@ -252,3 +252,48 @@ def test_large_batches_over_many_ranges(spark, monkeypatch):
     monkeypatch.setattr(lexical, "fits", lambda df: False)
     monkeypatch.setattr(lexical, "QUERY_PART", 2)
     assert found(spark, index, queries, 3, lexical.FLOORED) == want
+
+
+def exchanged(frame):
+    """The shuffles in the plan of a frame."""
+    return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_postings_meet_their_documents_without_a_shuffle(spark):
+    texts, _, _ = random_texts(15, 60)
+    index = grown(spark, texts, [30], range_docs=4)
+    want = sorted((t, i, n, sum(Counter(text.split()).values())) for i, text in enumerate(texts) for t, n in Counter(text.split()).items())
+    assert sorted(map(tuple, index.postings.collect())) == want
+    assert exchanged(index.postings) == 0
+
+
+def test_postings_of_an_index_too_large_to_broadcast(spark, monkeypatch):
+    texts, _, _ = random_texts(15, 60)
+    index = grown(spark, texts, [30], range_docs=4)
+    want = contents(index)
+    monkeypatch.setattr(lexical, "fits", lambda df: False)
+    assert contents(index) == want
+
+
+@pytest.mark.parametrize("most", [1, 7, 40, 10_000])
+def test_ranges_end_by_words_and_by_documents(spark, most, monkeypatch):
+    texts, _, _ = random_texts(16, 90)
+    texts += ["long " * 300, "", "long tail"]
+    want = contents(grown(spark, texts, [], range_docs=16))
+    monkeypatch.setattr(lexical, "RANGE_WORDS", most)
+    monkeypatch.setattr(lexical, "_classes", None)  # an append groups no postings
+    index = grown(spark, texts, [50], range_docs=16)
+    for r in index.ranges.collect():
+        assert 1 <= r["n"] <= 16 and (sum(r["dls"]) <= most or r["n"] == 1 or sum(d > 0 for d in r["dls"]) == 1)
+    assert contents(index) == want
+
+
+def test_a_merge_shuffles_only_blocks_of_joined_ranges(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"a b{i % 5} c{i}") for i in range(64)], "doc_id long, text string").coalesce(1)
+    path = work_path(spark, "full")
+    for part in range(2):
+        lexical.append_index(docs.filter(f"doc_id % 2 = {part}"), path, range_docs=8)
+    want, grouped, run = contents(lexical.load_index(spark, path)), [], lexical._classes
+    monkeypatch.setattr(lexical, "_classes", lambda rows, places: grouped.append(rows.count()) or run(rows, places))
+    merged = lexical.compact(spark, path, fan=2, range_docs=8)
+    assert contents(merged) == want and merged.ranges.count() == 8 and grouped == [0]
