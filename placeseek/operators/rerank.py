@@ -129,8 +129,7 @@ def restricted(
             vx.continent(F.col("latitude"), F.col("longitude")).isin(list(continents))
         )
     if tags is not None:
-        terms = F.array(*[F.lit(t) for t in tags])
-        out = out.filter(F.arrays_overlap(tx.tokens(F.col("content")), terms))
+        out = out.filter(tx.has_token(F.col("content"), tags))
     return out
 
 

@@ -169,3 +169,36 @@ def test_large_lengths_lose_no_neighbour(spark):
     got = rows_of(semantic.nearest(index, frame(spark, "query_id", stored[:5]), 3))
     plain = rows_of(semantic.nearest(frame(spark, "id", stored), frame(spark, "query_id", stored[:5]), 3))
     assert got == plain
+
+
+def test_hashed_vectors_count_each_word_with_its_sign(spark):
+    import hashlib
+
+    texts = ["sea sea SEA hut", "", None, "Été x_1 ω", "a " * 5000 + "b"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, t string").coalesce(1)
+    for dim in (64, 10):
+        rows = {r["id"]: list(r["embedding"]) for r in semantic.encode_hashed(df, "t", ["id"], dim).collect()}
+        for i, text in enumerate(texts):
+            sums = np.zeros(dim)
+            for word in (text or "").lower().split():
+                h = hashlib.md5(word.encode()).hexdigest()
+                sums[int(h[:8], 16) % dim] += 1 if int(h[8], 16) < 8 else -1
+            assert rows[i] == (sums / max(np.sqrt((sums**2).sum()), 1e-12)).tolist()
+
+
+def test_a_filter_is_run_once(spark):
+    from pyspark.sql import functions as F
+
+    vectors = frame(spark, "id", np.random.default_rng(3).normal(size=(60, 4)).tolist())
+    index = semantic.build_pivots(vectors, work_path(spark, "pivots"), pivots=4, unit_rows=8)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def costly(i):
+        seen.add(1)
+        return i % 3 == 0
+
+    allowed = spark.range(60).select("id").filter(costly.asNondeterministic()("id"))
+    queries = frame(spark, "query_id", [[0.0, 0.0, 1.0, 0.0]])
+    rows = semantic.nearest(index, queries, 5, allowed).collect()
+    assert len(rows) == 5 and all(r["id"] % 3 == 0 for r in rows) and seen.value == 60

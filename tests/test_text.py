@@ -172,3 +172,16 @@ def test_body_of_a_page(spark):
     df = spark.createDataFrame([(1, page)], "page_id long, html string")
     assert extract.with_clean_body(df).first()["content"] == "onetwothree second x last one is a rather long paragraph"
     assert extract.with_long_body(df).first()["content"] == "Last one is a rather long paragraph"
+
+
+def test_has_token_finds_whole_tokens_only(spark):
+    from pyspark.sql import functions as F
+
+    words = ["the", "été", "a-b", "x_1", "", "\U00010400", "q.e"]
+    texts = ["The end", "other", "bathe", "ÉTÉ", "a-b", "x_1", "x_12", "", None, "the\u0301", "\U00010400", "-the-", "qxe the_", "9the"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, t string")
+    listed = F.array(*[F.lit(w) for w in words])
+    rows = df.select("id", tx.has_token(F.col("t"), words).alias("got"), F.arrays_overlap(tx.tokens(F.col("t")), listed).alias("want"))
+    for r in rows.collect():
+        assert r["got"] == r["want"], texts[r["id"]]
+    assert not any(r[0] for r in df.select(tx.has_token(F.col("t"), [])).collect())
