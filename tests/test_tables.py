@@ -197,3 +197,18 @@ def test_colours_and_summary(spark):
     assert rows == {1: (0, 255), 2: (255, 0), 4: (255, 0)}
     totals = {r["query_id"]: tuple(r)[1:] for r in hits.summary(df).collect()}
     assert totals[1][:2] == (3, None) and totals[1][2] == pytest.approx(0.4) and totals[2] == (1, 5.0, None)
+
+
+def test_long_rankings_meet_posts_below_their_joins(spark, monkeypatch):
+    from placeseek.operators import hits as hx
+
+    docs = spark.createDataFrame([(i, f"u{i}") for i in range(40)], "id long, page_url string")
+    marks = spark.createDataFrame([(i, i * 2) for i in range(0, 40, 3)], "id long, mark long")
+    posts = docs.join(marks, "id", "left")
+    ranked = spark.createDataFrame([(1, n, i) for n, i in enumerate([3, 4, 39, 3, 77], start=1)], "query_id long, rank int, doc_id long")
+    want = sorted(map(str, hx.attach_posts(ranked, posts).collect()))
+    monkeypatch.setattr(hx, "PUSHED_IDS", 0)
+    found = hx.attach_posts(ranked, posts)
+    assert sorted(map(str, found.collect())) == want and len(want) == 4
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftOuter") < plan.index("LeftSemi")  # the outer join reads what the semi join leaves
