@@ -17,7 +17,10 @@ corpus. Two sets with 4 * common >= 3 * union differ in at most (|x| + |y|) / 7
    needed overlap. The links make components.
 5. Buckets whose other sets still are in several components give the pairs of the smaller ones with all
    others, large buckets in blocks of bounded size, and what the bitmaps allow is verified in the
-   same way. A pair inside one component cannot change it, so no component is lost.
+   same way. A pair inside one component cannot change it, so no component is lost. Before sets of large
+   buckets meet, all their shingles are counted that sets of other components hold, by the holder's size:
+   a set for which no size gives enough has no partner there and goes, so that the edited copies of one
+   text, or the texts around one passage, do not all meet each other.
 
 Null and empty texts and texts without words have empty sets, which link with nothing. With
 fewer words than n the whole sequence is the only shingle. Equal sets always link. A
@@ -27,8 +30,10 @@ other columns are not read. Sets are told apart by 128 bits.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -49,6 +54,9 @@ EXTRA = 8
 HOT = 64
 BLOCK = 256
 TRIE_STEP = 128
+# Sizes of one band differ by up to this factor; bands of similar sets differ by up to REACH.
+BAND = 1.1
+REACH = math.ceil(math.log(4 / 3) / math.log(BAND))
 # Entries of the caches that a worker keeps.
 CACHED = 1_000_000
 
@@ -380,18 +388,58 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-def crossing(
-    members: DataFrame, labels: DataFrame, sets: DataFrame, hot: int = HOT, block: int = BLOCK
-) -> DataFrame:
-    """Pairs (a, b) of sets that share a bucket, are in different components and have bitmaps that allow it.
+def shingle_rows(sets: DataFrame) -> DataFrame:
+    """(sig, doc, size, component) of every shingle of ``sets`` (doc, size, component, shingles)."""
 
-    The sets of a bucket's largest component meet the others only; leading sets have met all. In buckets
-    of more than ``hot`` sets, rows are repeated once per block of the side they meet.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                values = np.frombuffer(b"".join(part.column(3).to_pylist()), dtype=np.int64)
+                times = part.column(1).to_numpy()
+                columns = [values, *(np.repeat(c.to_numpy(), times) for c in part.columns[:3])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in columns], names=["sig", "doc", "size", "component"]
+                )
+
+    dealt = sets.select("doc", "size", "component", "shingles").repartition("doc")
+    return dealt.mapInArrow(run, "sig long, doc long, size int, component long")
+
+
+def partnered(sets: DataFrame) -> DataFrame:
+    """(doc) of the ``sets`` (doc, size, component, shingles) that may have a partner in another component.
+
+    A partner holds at least :func:`needed` of the set's shingles, and so do all holders of the
+    partner's band of sizes that are in other components.
+    """
+    width = math.log(BAND)
+    rows = shingle_rows(sets).withColumn("band", F.floor(F.log("size") / width).cast("int"))
+    holders = Window.partitionBy("sig").orderBy("band")
+    by = range(-REACH, REACH + 1)
+
+    def elsewhere(k: int) -> Column:
+        frame = holders.rangeBetween(k, k)
+        first, last = F.min("component").over(frame), F.max("component").over(frame)
+        held = (first != F.col("component")) | (last != F.col("component"))
+        return F.coalesce(held, F.lit(False)).cast("int").alias(f"_{k + REACH}")
+
+    def enough(k: int) -> Column:
+        # Sizes are whole numbers, so rounding the border down names no size that is too large.
+        border = F.floor(F.exp((F.col("band") + k) * width)).cast("long")
+        other = F.greatest(border, F.floor((3 * F.col("size") + 3) / 4))
+        return F.col(f"_{k + REACH}") >= F.floor((3 * (F.col("size") + other) + 6) / 7)
+
+    marked = rows.select("doc", "size", "band", *[elsewhere(k) for k in by])
+    counted = marked.groupBy("doc", "size", "band").agg(*[F.sum(f"_{k + REACH}").alias(f"_{k + REACH}") for k in by])
+    return counted.filter(reduce(or_, [enough(k) for k in by])).select("doc")
+
+
+def apart(known: DataFrame, hot: int, block: int) -> DataFrame:
+    """The rows (sig, doc, size, component) of buckets in several components, with what their comparison needs.
+
+    ``minor`` rows are outside of the bucket's largest component; ``_hot`` buckets have more than ``hot`` sets,
+    ``_blocks`` blocks of them and ``_small`` blocks of minor ones.
     """
-    rest = members.filter("doc <> lead")
-    known = rest.join(labels, rest["doc"] == labels["node"], "left").select(
-        "sig", "doc", "size", F.coalesce("component", "doc").alias("component")
-    )
     main = (
         known.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("_c"))
         .groupBy("sig").agg(F.sum("_c").alias("_n"), F.max(F.struct("_c", "component")).alias("_main"))
@@ -402,8 +450,29 @@ def crossing(
             F.ceil((F.col("_n") - F.col("_main._c")) / block).cast("int").alias("_small"),
         )
     )
-    dealt = stored(known.join(main, "sig").withColumn("minor", F.col("component") != F.col("_main")), "apart")
+    return stored(known.join(main, "sig").withColumn("minor", F.col("component") != F.col("_main")), "apart")
+
+
+def crossing(
+    members: DataFrame, labels: DataFrame, sets: DataFrame, hot: int = HOT, block: int = BLOCK
+) -> DataFrame:
+    """Pairs (a, b) of sets that share a bucket, are in different components and have bitmaps that allow it.
+
+    The sets of a bucket's largest component meet the others only; leading sets have met all. In buckets
+    of more than ``hot`` sets, those without a possible partner go first (:func:`partnered`), and where more
+    than ``hot`` are left, rows are repeated once per block of the side they meet.
+    """
+    rest = members.filter("doc <> lead")
+    known = rest.join(labels, rest["doc"] == labels["node"], "left").select(
+        "sig", "doc", "size", F.coalesce("component", "doc").alias("component")
+    )
+    dealt = apart(known, hot, block)
     few, many = dealt.filter("not _hot"), dealt.filter("_hot")
+    if many.limit(1).count():
+        among = sets.select("doc", "size", "shingles").join(many.select("doc", "component").distinct(), "doc")
+        left = many.join(partnered(among), "doc", "left_semi").select("sig", "doc", "size", "component")
+        again = apart(left, hot, block)
+        few, many = few.unionByName(again.filter("not _hot")), again.filter("_hot")
 
     one = few.filter("minor").select("sig", *[F.col(c).alias(f"{c}_") for c in ("doc", "size", "component")])
     near = few.join(one, "sig").filter(

@@ -207,6 +207,47 @@ def test_ngram_join_hot_buckets(spark, hot):
     assert linked_rows(docs_of(spark, texts), hot=hot, block=4) == want
 
 
+def test_ngram_join_edited_copies_do_not_all_meet(spark, monkeypatch):
+    """Copies of one text with edits of their own share its buckets, but only those that may be similar meet in blocks."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    base = [word() for _ in range(60)]
+    texts = []
+    for _ in range(60):
+        copy = list(base)
+        for at in rng.sample((8, 16, 24, 32, 40, 48), 4):
+            copy[at] = word()
+        texts.append(" ".join(copy))
+    met = []
+
+    def recorded(df, name):
+        kept = stored(df, name)
+        if name == "apart":
+            met.append(kept.filter("_hot").agg(F.coalesce(F.sum("_blocks"), F.lit(0))).first()[0])
+        return kept
+
+    monkeypatch.setattr(ngram_join, "stored", recorded)
+    assert linked_rows(docs_of(spark, texts), hot=4, block=4) == brute_components(dict(enumerate(texts)))
+    assert met[0] > 1_000 and met[-1] == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_ngram_join_hot_buckets_of_many_sizes(spark, seed):
+    """Parts of one text, whose sizes are in several bands and differ by just as much as similar sets may."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choices("abcdefgh", k=5))
+    base = [word() for _ in range(64)]
+    texts = [" ".join(base[:n]) for n in rng.sample(range(10, 65), 12)]
+    for _ in range(40):
+        begin = rng.randint(0, 20)
+        part = base[begin : begin + rng.randint(20, 44)]
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            part[rng.randrange(len(part))] = word()
+        texts.append(" ".join(part + [word() for _ in range(rng.choice([0, 0, 3, 6]))]))
+    want = brute_components(dict(enumerate(texts)))
+    assert linked_rows(docs_of(spark, texts), hot=2, block=3) == want
+
+
 def test_ngram_join_odd_rows(spark, odd):
     want = brute_components({r[0]: r[1] for r in ODD})
     assert linked_rows(odd) == want
