@@ -4,17 +4,31 @@ A byte-level BPE never merges across the borders that its splitting pattern draw
 single blank between two non-blanks is always such a border. Texts are therefore cut at
 blanks and line ends, and each distinct piece is encoded once per worker. Texts with other
 white space (runs, tabs, leading or trailing blanks) or with the string of a marker token are
-encoded whole by the tokenizer.
+encoded whole by the tokenizer. The pattern keeps a run of letters together, so a new piece of Latin
+letters alone goes straight to the tokenizer's merges.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 import numpy as np
 
 MARKS = '.,;:!?#$%&*()"|-'
 CACHE_ENTRIES = 800_000
+# Letters below are letters in every version of Unicode that the pattern may know.
+LATIN_END = "\u0250"
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The character by which a byte-level tokenizer writes each byte."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+BYTES = byte_alphabet()
 
 
 def default_path() -> str:
@@ -35,6 +49,12 @@ class Encoder:
         self.led: dict[str, bytes | None] = {}  # pieces behind a blank
         self.bare: dict[str, bytes | None] = {}  # pieces at the start of a line
         self.newline = self.whole("\n")
+        made = json.loads(self.tokenizer.to_str())
+        cutting = made["pre_tokenizer"] or {}
+        self.direct = (
+            made["normalizer"] is None and cutting.get("type") == "ByteLevel"
+            and cutting.get("use_regex", True) and not cutting["add_prefix_space"]
+        )
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -52,12 +72,30 @@ class Encoder:
             out += [data[a:b] for a, b in zip(begins, [*ends, len(data)], strict=True)]
         return out
 
+    def _encode_words(self, words: Sequence[str], lead: str) -> list[bytes]:
+        """Ids of pieces of Latin letters alone, each of which the pattern leaves in one part."""
+        merged = self.tokenizer.model.tokenize
+        lead = lead.translate(BYTES)
+        ids: list[int] = []
+        ends: list[int] = []
+        for word in words:
+            shown = word if word.isascii() else word.encode().decode("latin-1").translate(BYTES)
+            ids += [token.id for token in merged(lead + shown)]
+            ends.append(4 * len(ids))
+        data = np.array(ids, dtype="<u4").tobytes()
+        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
     def _learn(self, cache: dict[str, bytes | None], missing: set[str], lead: str) -> None:
         """Fill ``cache``; marks behind a word are encoded apart, as the pattern parts them too.
 
         Pieces that are empty or hold white space get None: their text is encoded whole.
         """
-        plain, parted, tails = [], [], {}
+        plain, words, parted, tails = [], [], [], {}
+
+        def sort(piece: str) -> None:
+            latin = self.direct and piece.isalpha() and (piece.isascii() or max(piece) < LATIN_END)
+            (words if latin else plain).append(piece)
+
         for piece in missing:
             stem = piece.rstrip(MARKS)
             if not piece or piece.split() != [piece]:
@@ -67,9 +105,10 @@ class Encoder:
                 tails[piece[len(stem) :]] = b""
                 if stem not in cache and stem not in missing:
                     cache[stem] = b""
-                    plain.append(stem)
+                    sort(stem)
             else:
-                plain.append(piece)
+                sort(piece)
+        cache.update(zip(words, self._encode_words(words, lead), strict=True))
         cache.update(zip(plain, self._encode_pieces(plain, lead), strict=True))
         tails.update(zip(tails, self._encode_pieces(list(tails), ""), strict=True))
         for piece, stem in parted:

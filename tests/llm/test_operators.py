@@ -559,6 +559,24 @@ def test_marker_strings_are_markers_as_in_the_plain_call(spark):
     assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_new_words_go_straight_to_the_merges(monkeypatch):
+    """Pieces of Latin letters are not cut by the pattern again; ids are those of the plain call."""
+    library = Tokenizer.from_file(tokens.default_path())
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyzABCXYZäöüßéèñçÓÈÉœøŁıʼnſƒªºµ"
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 14))) for _ in range(3_000)]
+    odd = ["don't", "'s", "x1", "12", "привет", "日本", "e\u0301", "\u0250", "a\u00adb", "\u00a0", "straße,", "über-all", "Ġx", "×", "ʰ"]
+    texts = [" ".join(rng.choices(words, k=40)) + "\n" + " ".join(rng.choices(words + odd * 20, k=40)) for _ in range(60)]
+    texts += ["", None, "é", " é", "é é\né"]
+    encoder = tokens.Encoder(tokens.default_path())
+    sent = []
+    pieces = encoder._encode_pieces
+    monkeypatch.setattr(encoder, "_encode_pieces", lambda some, lead: sent.extend(some) or pieces(some, lead))
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert not set(sent) & {w for w in words if w.isascii()} and "привет" in sent
+
+
 # -- licences and lines ----------------------------------------------------------------------
 
 
