@@ -621,3 +621,22 @@ def test_lines_beside_columns_of_the_same_names(spark):
     assert sorted(got.columns) == sorted(["doc_id", "text", "template", "n_lines", "n_dropped"])
     assert sum(r.n_dropped for r in got.collect()) == 5
     assert line_templates.deduplicated(docs.limit(0)).count() == 0
+
+
+def test_a_batch_looks_up_each_distinct_piece_once():
+    encoder = tokens.Encoder(tokens.default_path())
+    asked = []
+
+    class Seen(dict):
+        def __getitem__(self, piece):
+            asked.append(piece)
+            return super().__getitem__(piece)
+
+    texts = ["same words again, and again,\nsame words again"] * 50 + [None, "", "two  blanks", "tab\there", "é. ß"]
+    want = [encoder.whole(t or "") for t in texts]
+    assert encoder.encode(texts) == want
+    for name, value in list(vars(encoder).items()):
+        if isinstance(value, dict):
+            setattr(encoder, name, Seen(value))
+    assert encoder.encode(texts) == want
+    assert len(asked) == len(set(asked)) < 20
