@@ -141,7 +141,7 @@ def differing(size_a, size_b):
 
 
 def _batches(batches: Iterator[pa.RecordBatch]):
-    """(ids, texts) in pieces of bounded text; the task's word hashes do not stay in its worker."""
+    """(ids, texts) in pieces of bounded text; the task's word hashes and batches do not stay in its worker."""
     try:
         for batch in batches:
             ids = batch.column(0).to_pylist()
@@ -149,6 +149,7 @@ def _batches(batches: Iterator[pa.RecordBatch]):
                 yield ids[begin : begin + len(texts)], texts
     finally:
         _words.clear()
+        pa.default_memory_pool().release_unused()
 
 
 def describe(docs: DataFrame, n: int = WORDS) -> DataFrame:

@@ -52,22 +52,23 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.encoder(tokenizer)
         uid = TaskContext.get().partitionId() << 36
-        for batch in batches:
-            doc_ids = batch.column(0).to_pylist()
-            for begin, texts in tokens.text_batches(batch.column(1).to_pylist()):
-                rows = []
-                for k, ids in enumerate(encoder.encode(texts)):
-                    ids += end
-                    for piece, (a, b) in enumerate(piece_bounds(len(ids) // 4, capacity)):
-                        crc = zlib.crc32(ids[4 * a : 4 * b])
-                        rows.append((doc_ids[begin + k], piece, a, b - a, crc, uid))
-                        uid += 1
-                columns = list(zip(*rows, strict=True))
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-                names = ["doc_id", "piece", "start", "length", "ids_crc32", "uid"]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names
-                )
+        with encoder:
+            for batch in batches:
+                doc_ids = batch.column(0).to_pylist()
+                for begin, texts in tokens.text_batches(batch.column(1).to_pylist()):
+                    rows = []
+                    for k, ids in enumerate(encoder.encode(texts)):
+                        ids += end
+                        for piece, (a, b) in enumerate(piece_bounds(len(ids) // 4, capacity)):
+                            crc = zlib.crc32(ids[4 * a : 4 * b])
+                            rows.append((doc_ids[begin + k], piece, a, b - a, crc, uid))
+                            uid += 1
+                    columns = list(zip(*rows, strict=True))
+                    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+                    names = ["doc_id", "piece", "start", "length", "ids_crc32", "uid"]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names
+                    )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECE_SCHEMA)
 

@@ -8,6 +8,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -623,6 +624,19 @@ def test_lines_beside_columns_of_the_same_names(spark):
     assert line_templates.deduplicated(docs.limit(0)).count() == 0
 
 
+def test_workers_keep_no_pieces_of_a_packed_table(spark):
+    texts = [f"word{k} some{k % 7} text.\nNext line{k}" for k in range(200)]
+    packing.pieces(docs_of(spark, texts), tokens.default_path()).collect()
+    matrices.packed_matrices(docs_of(spark, texts), tokens.default_path()).collect()
+
+    def kept(batches):
+        for batch in batches:
+            sizes = [len(v) for e in tokens._encoders.values() for v in vars(e).values() if isinstance(v, dict)]
+            yield pa.RecordBatch.from_pydict({"n": pa.array([sum(sizes)] * batch.num_rows, pa.int64())})
+
+    assert {r.n for r in spark.range(0, 64, 1, 16).mapInArrow(kept, "n long").collect()} == {0}
+
+
 def test_a_batch_looks_up_each_distinct_piece_once():
     encoder = tokens.Encoder(tokens.default_path())
     asked = []
